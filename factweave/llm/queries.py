@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import materialise, table
+import public_tokenizers
+
+from . import bpe, records, simhash
+from .common import fresh_path, materialise, table
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "op3-records")
+    records.write(table(spark, sf_dir, "documents"), f"{path}/records", public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    index = records.build_index(spark, f"{path}/records", f"{path}/index")
+    return records.with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,5 +29,5 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op4_simhash": op4_simhash}
+QUERIES = {"op2_bpe": op2_bpe, "op3_token_records": op3_token_records, "op4_simhash": op4_simhash}
 ORACLES: dict[str, str] = {}
