@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, exact, hosts, licenses, records, simhash
-from .common import fresh_path, materialise, table
+from . import bpe, exact, hosts, langid, licenses, quality, records, simhash
+from .common import fresh_path, materialise, remainder, table
+
+
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = langid.train(docs.where(~held_out).select("doc_id", "lang", "text"))
+    return langid.identify(docs, model).withColumn("held_out", held_out)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +55,17 @@ def op9_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op3_token_records": op3_token_records, "op4_simhash": op4_simhash, "op7_licenses": op7_licenses, "op8_exact": op8_exact, "op9_hosts": op9_hosts}
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, label) of the rows that may train."""
+    return table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 4) != 2).select("doc_id", F.col("quality").alias("label"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(table(spark, sf_dir, "documents"), quality_labels(spark, sf_dir))
+    return found.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.GOOD).cast("int").alias("predicted"))
+
+
+QUERIES = {"op1_langid": op1_langid, "op2_bpe": op2_bpe, "op3_token_records": op3_token_records, "op4_simhash": op4_simhash, "op7_licenses": op7_licenses, "op8_exact": op8_exact, "op9_hosts": op9_hosts, "op10_quality": op10_quality}
 
 ORACLES: dict[str, str] = {}
 
