@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, exact, hosts, langid, licenses, quality, records, simhash
+from . import bpe, exact, hosts, langid, licenses, quality, records, simhash, substring
 from .common import fresh_path, materialise, remainder, table
 
 
@@ -36,6 +36,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated(table(spark, sf_dir, "documents"), window=35).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.GOOD).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_langid": op1_langid, "op2_bpe": op2_bpe, "op3_token_records": op3_token_records, "op4_simhash": op4_simhash, "op7_licenses": op7_licenses, "op8_exact": op8_exact, "op9_hosts": op9_hosts, "op10_quality": op10_quality}
+QUERIES = {"op1_langid": op1_langid, "op2_bpe": op2_bpe, "op3_token_records": op3_token_records, "op4_simhash": op4_simhash, "op5_substring": op5_substring, "op7_licenses": op7_licenses, "op8_exact": op8_exact, "op9_hosts": op9_hosts, "op10_quality": op10_quality}
 
 ORACLES: dict[str, str] = {}
 
@@ -129,3 +133,17 @@ best AS (
 SELECT p.page_id, p.host, p.path, best.rule, coalesce(best.v, CASE WHEN low.low > 0.2 THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN best ON p.page_id = best.page_id LEFT JOIN low ON p.host = low.host
 """
+
+ORACLES["op5_substring"] = r"""
+WITH t AS (
+    SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), win AS (
+    SELECT r, s, array_to_string(w[s:s + 34], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS s FROM t WHERE len(w) >= 35)
+), rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+cov AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM win WHERE k IN (SELECT k FROM rep)),
+gone AS (SELECT r, list(p) AS ps FROM cov GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(coalesce(ps, [])) AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' ')) AS kept_sha256
+FROM t LEFT JOIN gone USING (r)
+"""
