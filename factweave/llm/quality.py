@@ -12,12 +12,12 @@ several labels trains with each; no rows give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, materialise, only
@@ -168,50 +168,38 @@ def fit(x: np.ndarray, y: np.ndarray) -> Forest:
     return Forest(*(np.array(v) for v in (roots, feature, cut, left, right, value)), base, DEPTH)
 
 
-def train(features: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Forest:
-    """features: a table of measured(). labels: (doc_id, label) of the rows that may train. At most `most` reach the driver."""
-    known = features.join(labels.where("label is not null").select(F.col("doc_id").alias("of"), "label"), F.col("doc_id") == F.col("of"))
-    known = materialise(known.select("doc_id", "x", F.col("label").cast("double").alias("label")), "labelled")
-    n = known.count()
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    rows = known.where(part < int(1_000_000 * min(1.0, 1.1 * most / max(1, n))) + 1).orderBy(part, "doc_id", "label").limit(most).toPandas()
+def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Forest:
+    """labels: (doc_id, label) of the rows that may train. Only documents that the hash of their id chooses are measured, and
+    at most `most` rows of statistics reach the driver."""
+    wanted = labels.where("label is not null").select(F.col("doc_id").cast("long").alias("of"), F.col("label").cast("double").alias("label"))
+    share = int(1_000_000 * min(1.0, 1.1 * most / max(1, wanted.count()))) + 1
+    part = F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long")), F.lit(1_000_000))
+    features = materialise(measured(docs.where(part < share), id_col, text_col), "statistics")
+    known = features.join(wanted, F.col("doc_id") == F.col("of")).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)))
+    rows = known.orderBy("part", "doc_id", "label").limit(most).select("x", "label").toPandas()
     x = np.stack(rows["x"].to_list()).astype(np.float32) if len(rows) else np.zeros((0, len(STATISTICS)), np.float32)
     return fit(x, rows["label"].to_numpy(float))
 
 
-def scored(features: DataFrame, forest: Forest) -> DataFrame:
-    """doc_id, score for every row of a table of measured()."""
-
-    def work() -> Callable[[pa.RecordBatch], dict]:
-        def one(batch: pa.RecordBatch) -> dict:
-            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
-            return {"doc_id": batch.column("doc_id"), "score": forest.score(x)}
-
-        return one
-
-    return map_batches(features, "doc_id long, score double", work)
+def _score(forest: Forest, batch: pa.RecordBatch, at: int) -> np.ndarray:
+    x = np.array([statistics((t.as_py() or "").encode()) for t in batch.column(at)], np.float32)
+    return forest.score(x.reshape(batch.num_rows, len(STATISTICS)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score for every row of docs; labels: (doc_id, label) of the rows that may train."""
-    features = materialise(measured(docs, id_col, text_col), "statistics")
-    return scored(features, train(features, labels))
-
-
-def keep_good(docs: DataFrame, labels: DataFrame, least: Column | float = GOOD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that score at least `least`. The text is measured twice rather than moved: once to train, where a
-    labelled row needs its statistics alone, once where each row lies."""
+    forest = train(docs, labels, id_col=id_col, text_col=text_col)
     slim = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
-    wanted = labels.where("label is not null").select("doc_id", "label")
-    forest = train(materialise(measured(slim), "statistics"), wanted)
-    names = docs.columns
-    at = names.index(text_col)
+    return map_batches(slim, "doc_id long, score double", lambda: lambda batch: {"doc_id": batch.column("doc_id"), "score": _score(forest, batch, 1)})
+
 
-    def run(batches):
-        import pyarrow.compute as pc
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = GOOD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that score at least `least`, judged where they lie."""
+    forest = train(docs, labels, id_col=id_col, text_col=text_col)
+    at = docs.columns.index(text_col)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([statistics((t.as_py() or "").encode()) for t in batch.column(at)], np.float32).reshape(batch.num_rows, -1)
-            yield batch.filter(pc.greater_equal(pa.array(forest.score(x)), least))
+            yield batch.filter(pa.array(_score(forest, batch, at) >= least))
 
     return docs.mapInArrow(run, docs.schema)

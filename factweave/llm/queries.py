@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, exact, hosts, langid, licenses, quality, records, simhash, substring
+from . import bpe, decontam, exact, hosts, langid, licenses, quality, records, simhash, substring
 from .common import fresh_path, materialise, remainder, table
 
 
@@ -40,6 +40,11 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated(table(spark, sf_dir, "documents"), window=35).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that leaked into it."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
@@ -69,7 +74,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.GOOD).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_langid": op1_langid, "op2_bpe": op2_bpe, "op3_token_records": op3_token_records, "op4_simhash": op4_simhash, "op5_substring": op5_substring, "op7_licenses": op7_licenses, "op8_exact": op8_exact, "op9_hosts": op9_hosts, "op10_quality": op10_quality}
+QUERIES = {"op1_langid": op1_langid, "op2_bpe": op2_bpe, "op3_token_records": op3_token_records, "op4_simhash": op4_simhash, "op5_substring": op5_substring, "op6_decontam": op6_decontam, "op7_licenses": op7_licenses, "op8_exact": op8_exact, "op9_hosts": op9_hosts, "op10_quality": op10_quality}
 
 ORACLES: dict[str, str] = {}
 
