@@ -32,14 +32,15 @@ from pyspark.sql import functions as F
 from .common import fresh_path, map_batches, materialise, only, pieces
 from .kernels import BASES, Words, _ranges, rolling, xxh64_spans
 
-WINDOW, FANOUT, BUCKETS = 35, 4, 64
+WINDOW, FANOUT = 35, 4
 
 
 class FingerprintIndex:
     """Sorted runs of (fp, n): fingerprints of all batches so far and the number of places they have."""
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int = BUCKETS):
-        self.spark, self.fanout, self.buckets = spark, fanout, buckets
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None):
+        """buckets: those of every run; by default as many as a shuffle has partitions, so each bucket is one file."""
+        self.spark, self.fanout, self.buckets = spark, fanout, buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[tuple[str, str]] = []
         self.name = f"fingerprint_runs_{uuid.uuid4().hex}"
         self.made = 0
@@ -48,7 +49,9 @@ class FingerprintIndex:
     def _write(self, rows: DataFrame) -> tuple[str, str]:
         name, path = f"{self.name}_{self.made}", fresh_path(self.spark, "fingerprint-run")
         self.made += 1
-        rows.repartition(self.buckets, "fp").write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", path).saveAsTable(name)
+        if self.buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            rows = rows.repartition(self.buckets, "fp")  # else the aggregation has dealt them out alike
+        rows.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", path).saveAsTable(name)
         return name, path
 
     def rows(self, run: tuple[str, str]) -> DataFrame:
