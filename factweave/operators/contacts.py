@@ -222,3 +222,16 @@ def ecr(contacts: DataFrame, threshold: float = 0.95) -> DataFrame:
     """One row: evidence completeness rate over all rows, and whether it reaches the threshold."""
     rate = F.coalesce(F.avg(complete().cast("double")), F.lit(0.0))
     return contacts.agg(F.count("*").alias("total"), F.count_if(complete()).alias("complete"), rate.alias("ecr"), F.when(rate >= threshold, "OK").otherwise("FAIL").alias("verdict"))
+
+
+def vcard_titles(rows: DataFrame, vcards: DataFrame, budget: int = 50, most_bytes: int = 65_536) -> DataFrame:
+    """Titles from cards: (seq, title) for the first `budget` rows, by seq, whose card gives one. rows: (seq, vcard); vcards:
+    (url, status, body). A card that is too long or gives no title costs nothing. The budget is a top-k."""
+    good = vcards.where((F.col("status") < 400) & (F.octet_length("body") <= most_bytes)).select(F.col("url").alias("vcard"), V.vcard_title(F.col("body")).alias("title"))
+    return rows.select("seq", "vcard").join(good.where("title is not null"), "vcard").orderBy("seq").limit(budget).select("seq", "title")
+
+
+def gold_metrics(gold: DataFrame) -> DataFrame:
+    """Counts of gold contacts (company, contact_type, complete) by company, by type and over all, in one pass."""
+    sets = gold.groupingSets([["company"], ["contact_type"], []], "company", "contact_type")
+    return sets.agg(F.count("*").alias("contacts"), F.count_if("complete").alias("complete"), F.grouping_id().alias("level"))

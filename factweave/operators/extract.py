@@ -278,6 +278,18 @@ def accepted(rows: DataFrame, site_counts: DataFrame | None = None, allow_free:
     return by.select("page_id", "person_name", "contact_type", "b.*")
 
 
+def follow_ups(cards: DataFrame, pages: DataFrame, most: int = routing.FOLLOW_UPS) -> DataFrame:
+    """Contacts of profile pages for cards without any: cards (page_id, place, person_name, profile_url), pages (url, html) as
+    fetched. The first `most` cards of a page are followed; of a profile only contacts under the card's own name count."""
+    from pyspark.sql import Window
+
+    tried = cards.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("place"))).where(F.col("_n") <= most).drop("_n")
+    wanted = tried.select(F.col("profile_url").alias("url")).distinct().join(pages, "url").select(F.xxhash64("url").alias("page_id"), "url", "html")
+    found = accepted(candidates(wanted)).select("evidence.source_url", "person_name", "contact_type", "contact_value")
+    both = tried.join(found.withColumnRenamed("person_name", "_name"), F.col("profile_url") == F.col("source_url"))
+    return both.where(F.lower("person_name") == F.lower("_name")).select("page_id", "place", "person_name", "contact_type", "contact_value", "source_url")
+
+
 def links(pages: DataFrame, most: int = 20) -> DataFrame:
     """Links of a page worth following: (page_id, place, link), same site, without query or fragment, once each, in order."""
 

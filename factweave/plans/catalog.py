@@ -11,7 +11,7 @@ from ..functions import contact_values as V
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators import contacts as C
-from ..operators import probe, routing, rules
+from ..operators import brand, extract, probe, routing, rules
 from .relations import CONTACTS_SQL, PARSER_VERSION, SCREENSHOT, contacts, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -547,6 +547,67 @@ def time_cost_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("method")).agg(F.count("*").alias("pages"), F.countDistinct("user_id").alias("domains"), F.round(total, 4).alias("total_s"), F.round(total / 60 * 0.02 + F.count("*") * 0.001, 4).alias("cost"))
 
 
+# --- extraction ------------------------------------------------------------------------------------------------------
+
+_WRITTEN = f"""
+WITH c AS (SELECT *, trim(regexp_replace(person_name, ' +', ' ', 'g')) AS name, trim(company) AS firm, CASE WHEN role_title = 'Unknown' THEN 'Unknown' ELSE role_title END AS role FROM ({CONTACTS_SQL}))
+"""
+
+
+def _cards(spark: SparkSession, sf_dir: str, form: str) -> DataFrame:
+    """A page for each contact that isn't a link, holding one card or one row of a table."""
+    c = contacts(spark, sf_dir).where("contact_type <> 'link'")
+    value = F.col("contact_value")
+    if form == "card":
+        anchor = F.when(F.col("contact_type") == "email", F.concat(F.lit('<a href="mailto:'), value, F.lit('?subject=x">write</a>'))).otherwise(F.concat(F.lit('<a href="tel:'), value, F.lit('">call</a>')))
+        body = F.concat(F.lit('<div class="team-member"><h3>'), "person_name", F.lit('</h3><p class="title">'), "role_title", F.lit("</p>"), anchor, F.lit("</div>"))
+    else:
+        cells = [F.col("person_name"), F.col("role_title"), F.when(F.col("contact_type") == "email", value).otherwise(""), F.when(F.col("contact_type") == "phone", value).otherwise("")]
+        body = F.concat(F.lit("<table><tr><th>Name<th>Title<th>Email<th>Phone<tr><td>"), F.array_join(F.array(*cells), "<td>"), F.lit("</table>"))
+    return c.select(F.col("seq").alias("page_id"), F.col("evidence.source_url").alias("url"), F.concat(F.lit("<title>"), "company", F.lit(" - Team</title>"), body).alias("html"))
+
+
+@register(_WRITTEN + f"SELECT seq AS page_id, firm AS company, name AS person_name, role AS role_title, contact_type, CASE WHEN contact_type = 'email' THEN lower(contact_value) ELSE {_digits('contact_value')} END AS contact_value FROM c WHERE contact_type <> 'link'")
+def card_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.accepted(extract.candidates(_cards(spark, sf_dir, "card"))).select("page_id", "company", "person_name", "role_title", "contact_type", "contact_value")
+
+
+@register(_WRITTEN + f"SELECT seq AS page_id, firm AS company, name AS person_name, role_title, contact_type, CASE WHEN contact_type = 'email' THEN lower(contact_value) ELSE {_digits('contact_value')} END AS contact_value FROM c WHERE contact_type <> 'link'")
+def table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.accepted(extract.candidates(_cards(spark, sf_dir, "table"))).select("page_id", "company", "person_name", "role_title", "contact_type", "contact_value")
+
+
+@register()
+def fast_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.accepted(extract.candidates(_cards(spark, sf_dir, "card"), rendered=True)).select("page_id", "person_name", "contact_type", "contact_value")
+
+
+@register()
+def link_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.links(_pages(spark, sf_dir))
+
+
+@register()
+def brand_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host = U.authority(F.col("url"))
+    pairs = _pages(spark, sf_dir).select("page_id", F.concat(F.lit("mail."), F.regexp_replace(U.registrable(host), "^(.)(.)", "$2$1")).alias("email_domain"), host.alias("site_host"))
+    return brand.brand_matches(pairs)
+
+
+@register(_C + "SELECT seq, 'Title ' || seq AS title FROM contacts WHERE contact_type = 'link' AND ends_with(contact_value, '.vcf') AND seq % 4 <> 0 ORDER BY seq LIMIT 50")
+def vcard_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards are made up: every fourth has no title."""
+    rows = contacts(spark, sf_dir).where("contact_type = 'link' and contact_value like '%.vcf'").select("seq", F.concat("contact_value", F.lit("?"), "seq").alias("vcard"))
+    body = F.when(F.col("seq") % 4 == 0, "BEGIN:VCARD").otherwise(F.concat(F.lit("BEGIN:VCARD\nTITLE: Title "), "seq", F.lit("\nORG:x")))
+    return C.vcard_titles(rows, rows.select(F.col("vcard").alias("url"), F.lit(200).alias("status"), body.alias("body")))
+
+
+@register(_C + "SELECT company_key AS company, contact_type, count(*) AS contacts, count(*) FILTER (verification_status = 'VERIFIED') AS complete, grouping(company_key, contact_type) AS level FROM contacts GROUP BY GROUPING SETS ((company_key), (contact_type), ())")
+def gold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contacts(spark, sf_dir).select(F.lower(T.strip(F.col("company"))).alias("company"), "contact_type", C.complete().alias("complete"))
+    return C.gold_metrics(rows)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision makers with their best contacts, from raw contact rows."""
     return decision_people(spark, sf_dir)
