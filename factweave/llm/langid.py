@@ -127,12 +127,12 @@ def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """labelled: (doc_id, lang, text) of the rows that may train."""
-    rows = labelled.where("lang is not null and text is not null")
+    rows = labelled.where("lang is not null")
     have = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not have:
         return None
     share = F.create_map(*(F.lit(x) for lang, n in sorted(have.items()) for x in (lang, min(1.0, per_language / n))))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    chosen = rows.where("text is not null").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
     sample = materialise(chosen.select("doc_id", "lang", "text").repartition(COUNTING_TASKS, "doc_id"), "langid-sample").coalesce(COUNTING_TASKS)
     tables: dict[str, np.ndarray] = {}
     for r in sample.mapInArrow(_tables, "lang string, table binary").collect():

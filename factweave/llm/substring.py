@@ -77,10 +77,10 @@ class FingerprintIndex:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def drop(self) -> None:
-        if self.spark.sparkContext._jsc is not None:
-            for name, _ in self.runs:
+        runs, self.runs = self.runs, []
+        if self.spark.getActiveSession() is not None:  # else the catalog has gone with the session
+            for name, _ in runs:
                 self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.runs = []
 
 
 def _least(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
