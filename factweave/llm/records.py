@@ -26,16 +26,20 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import MEMO, cut
+from .bpe import cut
 from .common import map_batches, only
 
+#: Parts that a worker process remembers, in each of two generations.
+MEMO = 300_000
 #: Records in a file at most.
 RECORDS_PER_FILE = 2048
 #: Documents in a shard, about; there are never more than MOST_SHARDS, whose bounds the driver holds.
@@ -88,11 +92,33 @@ def unframe_all(raw: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]
         at = after
 
 
+class Recent(dict):
+    """A memo of two generations: when the young one is full it becomes the old one, and what is used of that moves on.
+    What neither has is noted in `new` and reads as no ids."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old, self.new = most, {}, set()
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            self.new.add(key)
+            return b""
+        self[key] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
-    """The tokenizers library, asked once for each part between single spaces and remembering the answers.
+    """The tokenizers library, asked for each part of text between single spaces and remembering recent answers.
 
-    Parts that are new are joined by line feeds and encoded together; the line feed is a token by itself there, so it
-    marks where each part's ids end. A text in which white space neighbours white space is encoded whole.
+    Parts that are new are joined by line feeds and encoded together: the line feed is a token by itself there, so it marks
+    where each part's ids end. A text in which white space neighbours white space is encoded whole.
     """
 
     def __init__(self, path: str, end_id: int | None):
@@ -105,40 +131,38 @@ class Encoder:
         self.end = b"" if end_id is None else np.array([end_id], self.kind).tobytes()
         line = self.lib.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
-        self.known: dict[str, bytes] = {}
+        self.parts = Recent(MEMO)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        if len(self.known) + len(new) > MEMO:
-            self.known.clear()
-        plain = [p for p in new if "\n" not in p and p] if self.line is not None else []
-        for p in new.difference(plain):
-            self.known[p] = self.whole(" " + p)
-        for k in range(0, len(plain), 1000):
-            some = plain[k : k + 1000]
-            ids = np.array(self.lib.encode_batch_fast(["\n".join([" " + p for p in some]) + "\n"], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.flatnonzero(ids == self.line)
+    def _learn(self) -> None:
+        """Asks for what is new."""
+        new, self.parts.new = self.parts.new, set()
+        together = [p for p in new if p and "\n" not in p] if self.line is not None else []
+        for p in new.difference(together):
+            self.parts[p] = self.whole(" " + p)
+        for k in range(0, len(together), 1000):
+            some = together[k : k + 1000]
+            ids = np.array(self.lib.encode_batch_fast([" " + "\n ".join(some) + "\n"], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(ids == self.line) * self.kind.itemsize
             if len(ends) != len(some):  # another vocabulary may join line feeds with what is beside them
-                self.known.update((p, self.whole(" " + p)) for p in some)
+                self.parts.update((p, self.whole(" " + p)) for p in some)
                 continue
-            raw, wide, at = ids.tobytes(), self.kind.itemsize, 0
+            raw, at, wide = ids.tobytes(), 0, self.kind.itemsize
             for p, e in zip(some, ends.tolist(), strict=True):
-                self.known[p] = raw[at * wide : e * wide]
-                at = e + 1
+                self.parts[p] = raw[at:e]
+                at = e + wide
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         split = [cut(t) if t else None for t in texts]
-        need = set()
+        self.parts.turn()
+        get = self.parts.__getitem__
         for parts in split:
             if parts:
-                need.update(parts[1:])
-        known = self.known
-        if new := need.difference(known):
-            self._learn(new)
-        if not need <= known.keys():  # the memo was emptied to make room
-            self._learn(need.difference(known))
+                deque(map(get, islice(parts, 1, None)), 0)
+        if self.parts.new:
+            self._learn()
         out = []
         for text, parts in zip(texts, split, strict=True):
             if not text:
@@ -146,7 +170,7 @@ class Encoder:
             elif parts is None:
                 raw = self.whole(text)
             else:
-                raw = (self.whole(parts[0]) if parts[0] else b"") + b"".join([known[p] for p in parts[1:]])
+                raw = (self.whole(parts[0]) if parts[0] else b"") + b"".join(map(get, islice(parts, 1, None)))
             out.append(np.frombuffer(raw + self.end, self.kind))
         return out
 

@@ -4,6 +4,8 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from factweave.llm import records as R
@@ -64,10 +66,17 @@ def test_damage_is_found():
 
 def test_memo_and_whole_texts_agree(lib):
     e = R.Encoder(PATH, 0)
-    for t in TEXTS:
+    for t in TEXTS * 2:
         assert e.batch([t or ""])[0].tolist() == lib(t)
-    old, R.MEMO = R.MEMO, 2
-    try:
-        assert [x.tolist() for x in e.batch(["a b c d e", "c d f g"])] == [lib("a b c d e"), lib("c d f g")]
-    finally:
-        R.MEMO = old
+    e.parts.most = 2
+    for _ in range(2):
+        texts = ["a b c d e,", "c d f's g!?\u2028x", "a 'd, b-c 12th", " a b ", "a word, word. ß! x' y_"]
+        assert [x.tolist() for x in e.batch(texts)] == [lib(t) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"])), st.text("ab é\n'.1"))
+def test_any_text(lib, one, two):
+    e = R.load(PATH, 0)
+    texts = [one, two, f"x {one} {two} y"]
+    assert [x.tolist() for x in e.batch(texts)] == [lib(t) for t in texts]
