@@ -41,25 +41,28 @@ class Segment:
 
 @dataclass(frozen=True)
 class Index:
-    """Segments; most bits of all lanes that may differ; most bits of lane 0 that may differ in a candidate."""
+    """Segments; most bits of all lanes that may differ. What is filed carries the first `sketch` lanes: a pair that differs
+    there in more than `most_sketch` bits is no candidate, so loose pairs of a dense group are never written down."""
 
     lanes: int
     segments: tuple[Segment, ...]
     most: int
-    most_first: int
+    sketch: int
+    most_sketch: int
 
     @property
     def exact(self) -> bool:
         """Whether no pair within `most` can be missed: the differing bits can't exceed every segment's radius at once."""
         bits = {(s.lane, b) for s in self.segments for b in range(s.shift, s.shift + s.width)}
-        return len(bits) == sum(s.width for s in self.segments) and sum(s.radius + 1 for s in self.segments) > self.most and (self.lanes == 1 and self.most_first >= self.most)
+        return len(bits) == sum(s.width for s in self.segments) and sum(s.radius + 1 for s in self.segments) > self.most and (self.lanes == 1 and self.most_sketch >= self.most)
 
 
 #: Every pair that differs in at most 4 of 64 bits: radii 1, 1 and 0 leave no way to spread 4 differences.
-EXACT_4 = Index(1, (Segment(0, 0, 22, 1), Segment(0, 22, 22, 1), Segment(0, 44, 20, 0)), 4, 4)
+EXACT_4 = Index(1, (Segment(0, 0, 22, 1), Segment(0, 22, 22, 1), Segment(0, 44, 20, 0)), 4, 1, 4)
 #: Five-word shingle sets with a Jaccard similarity of 0.8 or more (expected angle: 78 of 512 bits). A pair at 0.8 is within
-#: 88 bits nine times in ten, at 0.85 nearly always; ten segments of 18 bits find it with probability 0.92 and 0.98.
-SIMILAR_80 = Index(8, tuple(Segment(lane, shift, 18, 1) for lane in range(4) for shift in (0, 20, 40))[:10], 88, 19)
+#: 88 bits nine times in ten, at 0.85 nearly always; ten segments of 18 bits find it with probability 0.92 and 0.98. Of 88
+#: differing bits 55 are expected in the sketch's five lanes, with a deviation of 4.
+SIMILAR_80 = Index(8, tuple(Segment(lane, shift, 18, 1) for lane in range(4) for shift in (0, 20, 40))[:10], 88, 5, 65)
 
 
 def _fingerprints(shingle: int, lanes: int) -> Callable[[], Callable[[pa.RecordBatch], dict]]:
@@ -113,7 +116,11 @@ def _filed(nodes: DataFrame, index: Index, probe: bool) -> DataFrame:
 def links(distinct: DataFrame, index: Index) -> tuple[DataFrame, DataFrame]:
     """Edges (u, v) between rows (node, f0, ...) of different fingerprints, in two tables; see the module's text."""
     lanes = [f"f{k}" for k in range(index.lanes)]
-    slim = distinct.select("node", "f0", *([f"f{s}" for s in sorted({s.lane for s in index.segments} - {0})]))
+    sketch = lanes[: index.sketch]
+    slim = distinct.select("node", *(x for x in lanes if x in sketch or x in {f"f{s.lane}" for s in index.segments}))
+
+    def named(prefix: str) -> list[Column]:
+        return [F.col(x).alias(f"{prefix}{x}") for x in sketch]
 
     def verified(pairs: DataFrame) -> DataFrame:
         if index.lanes == 1:
@@ -122,15 +129,17 @@ def links(distinct: DataFrame, index: Index) -> tuple[DataFrame, DataFrame]:
         right = distinct.select(F.col("node").alias("v"), *(F.col(x).alias(f"v{x}") for x in lanes))
         return pairs.join(left, "u").join(right, "v").where(_bits("u", "v", lanes) <= index.most).select("u", "v")
 
-    table = _filed(slim, index, False).select("key", "node", "f0")
-    least = materialise(table.groupBy("key").agg(F.min(F.struct("node", "f0")).alias("m"), F.count("*").alias("n")).where("n > 1").select("key", F.col("m.node").alias("v"), F.col("m.f0").alias("vf0")), "buckets")
-    stars = table.join(least, "key").where((F.col("node") != F.col("v")) & (F.bit_count(F.col("f0").bitwiseXOR(F.col("vf0"))) <= index.most_first))
-    stars = materialise(verified(stars.select(F.col("node").alias("u"), "v").distinct()), "stars")
+    near = _bits("u", "v", sketch) <= index.most_sketch
+    table = _filed(slim, index, False)
+    least = table.groupBy("key").agg(F.min(F.struct("node", *sketch)).alias("m"), F.count("*").alias("n")).where("n > 1")
+    least = materialise(least.select("key", F.col("m.node").alias("v"), *(F.col(f"m.{x}").alias(f"v{x}") for x in sketch)), "buckets")
+    stars = table.select("key", F.col("node").alias("u"), *named("u")).join(least, "key").where((F.col("u") != F.col("v")) & near)
+    stars = materialise(verified(stars.select("u", "v").distinct()), "stars")
     part = materialise(connected_components(stars), "parts")
     placed = materialise(slim.join(part.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")), "placed")
-    filed = _filed(placed, index, False).select("key", F.col("node").alias("v"), F.col("f0").alias("vf0"), F.col("part").alias("vp"))
-    probes = _filed(placed, index, True).select("key", F.col("node").alias("u"), F.col("f0").alias("uf0"), F.col("part").alias("up"))
-    met = probes.join(filed, "key").where((F.col("up") != F.col("vp")) & (F.bit_count(F.col("uf0").bitwiseXOR(F.col("vf0"))) <= index.most_first))
+    filed = _filed(placed, index, False).select("key", F.col("node").alias("v"), *named("v"), F.col("part").alias("vp"))
+    probes = _filed(placed, index, True).select("key", F.col("node").alias("u"), *named("u"), F.col("part").alias("up"))
+    met = probes.join(filed, "key").where((F.col("up") != F.col("vp")) & near)
     met = met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     return stars, materialise(verified(met), "links")
 
