@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import similar
 from .common import map_batches, materialise, only, pieces
 from .components import connected_components
 from .kernels import U, Words, majority_bits, mix, xxh64_spans
@@ -59,7 +60,7 @@ class Index:
 
 #: Every pair that differs in at most 4 of 64 bits: radii 1, 1 and 0 leave no way to spread 4 differences.
 EXACT_4 = Index(1, (Segment(0, 0, 22, 1), Segment(0, 22, 22, 1), Segment(0, 44, 20, 0)), 4, 1, 4)
-#: Five-word shingle sets with a Jaccard similarity of 0.8 or more (expected angle: 78 of 512 bits). A pair at 0.8 is within
+#: An estimate, which no query uses (`similar` is exact). Five-word shingle sets with a Jaccard similarity of 0.8 or more (expected angle: 78 of 512 bits). A pair at 0.8 is within
 #: 88 bits nine times in ten, at 0.85 nearly always; ten segments of 18 bits find it with probability 0.92 and 0.98. Of 88
 #: differing bits 55 are expected in the sketch's five lanes, with a deviation of 4.
 SIMILAR_80 = Index(8, tuple(Segment(lane, shift, 18, 1) for lane in range(4) for shift in (0, 20, 40))[:10], 88, 5, 65)
@@ -156,8 +157,6 @@ def near_duplicates(prints: DataFrame, index: Index = EXACT_4) -> DataFrame:
     return prints.join(of, on, "left").select("doc_id", *lanes, "component_id")
 
 
-def keep_one(docs: DataFrame, index: Index = SIMILAR_80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of its component (rows with a null id stay)."""
-    prints = materialise(fingerprints(docs, shingle, index.lanes, id_col, text_col), "prints")
-    found = near_duplicates(prints, index).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(found, docs[f"`{id_col}`"] == found["gone"], "left_anti")
+def keep_one(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose id is the smallest of its component. The links are those of `similar`, where none is lost."""
+    return similar.keep_one(docs, shingle, id_col, text_col)

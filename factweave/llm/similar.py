@@ -1,0 +1,190 @@
+"""Exact near-duplicates: every pair of texts whose word shingle sets have a Jaccard similarity of at least SIMILAR is linked.
+
+Texts: A-Z lower-cased, words `[^\\x20\\x09-\\x0D]+`, shingles of some words joined by one space, each once (fewer words: the
+whole sequence; none, or null: the empty set). A shingle is its XXH64, so only clashes of 64-bit hashes could change a decision.
+
+1. Prefix filter. All shingles are put in one order. If two sets of a and b elements have a similarity of 4/5, they share one
+   of the first a // 5 + 1 of the one and b // 5 + 1 of the other. Texts are filed under these alone; no pair is lost.
+2. Order. Any order is right; the shingles that a sample of texts has often come last, so that common lines file nothing.
+3. Candidates meet under a key and pass bounds by sizes, by places in the order and by bitmaps (sets differ in at least the
+   elements that their bitmaps differ in), all exact. The similarity of the whole sets decides each.
+4. Dense groups would give all their pairs. So in PIVOTS rounds each text is first compared with one text of its keys, and
+   afterwards only pairs of different components are written down.
+
+A set is one node, named by 64 bits of its BLAKE2b; copies cost one node. Two of n sets clash with odds of n * n / 2 ** 65.
+
+Defined cases: blank texts are equal; rows with a null id stay and link nothing; rows of one id and one text stay or go
+together, rows of one id and different texts are judged apart; no rows give no rows.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Callable
+from functools import reduce
+from operator import add
+
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import map_batches, materialise, only, pieces
+from .components import connected_components
+from .kernels import U, Words, xxh64_spans
+
+#: Least similarity, as a fraction.
+SIMILAR = (4, 5)
+#: Texts whose shingles are counted for the order, shingles that come last, and how many of those texts must have them.
+SAMPLE, COMMON, OFTEN = 10_000, 50_000, 3
+PIVOTS = 2
+#: 64-bit words of a set's bitmap; a shingle's leading bits name its bit.
+BITMAP = 8
+
+
+def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
+    """The hashes of each text's distinct shingles, in ascending order."""
+    words = Words([t.lower() for t in texts])  # bytes.lower() changes A-Z alone
+    firsts, per = words.runs(shingle)
+    hashes = xxh64_spans(words.raw, words.starts[firsts], words.ends[firsts + shingle - 1]) if len(firsts) else np.zeros(0, U)
+    short = np.flatnonzero((words.counts > 0) & (words.counts < shingle))
+    whole = xxh64_spans(words.raw, words.starts[words.bounds[short]], words.ends[words.bounds[short + 1] - 1]) if len(short) else hashes[:0]
+    cuts = np.concatenate([[0], np.cumsum(per)])
+    out = [np.unique(hashes[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    for k, h in zip(short.tolist(), whole, strict=True):
+        out[k] = np.array([h], U)
+    return out
+
+
+def _shingles(shingle: int) -> Callable[[], Callable[[pa.RecordBatch], dict]]:
+    def work() -> Callable[[pa.RecordBatch], dict]:
+        def one(batch: pa.RecordBatch) -> dict:
+            return {"key": np.concatenate([s for _, texts in pieces(batch) for s in shingle_sets(texts, shingle)]).view(np.int64)}
+
+        return one
+
+    return work
+
+
+def common_shingles(slim: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ascending; counts) of at most COMMON shingles that OFTEN or more of about SAMPLE texts have."""
+    share = min(1.0, SAMPLE / max(1, slim.count()))
+    some = slim.where(F.pmod(F.xxhash64("sha"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
+    counts = map_batches(some, "key long", _shingles(shingle)).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN)
+    rows = counts.orderBy(F.desc("n"), "key").limit(COMMON).collect()
+    keys, n = np.array([r.key for r in rows], np.int64).view(U), np.array([r.n for r in rows], np.int64)
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
+
+def _prints(shingle: int, shared: Broadcast) -> Callable[[], Callable[[pa.RecordBatch], dict]]:
+    def work() -> Callable[[pa.RecordBatch], dict]:
+        common, n = shared.value
+
+        def one(batch: pa.RecordBatch) -> dict:
+            node, sets, prefix, bitmap = [], [], [], []
+            for _, texts in pieces(batch):
+                for s in shingle_sets(texts, shingle):
+                    node.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
+                    sets.append(s.view(np.int64))
+                    bits = np.zeros(64 * BITMAP, bool)
+                    bits[s >> U(64 - int(64 * BITMAP).bit_length() + 1)] = True
+                    bitmap.append(np.packbits(bits).view(np.int64))
+                    rank = np.zeros(len(s), np.int64)
+                    if len(common) and len(s):
+                        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+                        rank = np.where(common[at] == s, n[at], 0)
+                    most, least = SIMILAR[1], SIMILAR[1] - SIMILAR[0]
+                    prefix.append(s[np.argsort(rank, kind="stable")[: least * len(s) // most + 1]].view(np.int64))
+            words = np.stack(bitmap)
+            return {"doc_id": batch.column("doc_id"), "sha": batch.column("sha"), "node": node, "shingles": sets, "prefix": prefix, **{f"b{k}": words[:, k] for k in range(BITMAP)}}
+
+        return one
+
+    return work
+
+
+def _hashed(text: str) -> Column:
+    return F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256)
+
+
+def _enough(overlap: Column, u: str, v: str) -> Column:
+    """overlap / union >= SIMILAR, in whole numbers, for sets of u and v elements."""
+    a, b = SIMILAR
+    return overlap * (a + b) >= (F.col(u) + F.col(v)) * a
+
+
+def _side(rows: DataFrame, as_: str, *more: str) -> DataFrame:
+    return rows.select("key", F.col("node").alias(as_), *(F.col(c).alias(f"{as_}_{c}") for c in ("size", "place", *more)))
+
+
+def _near() -> Column:
+    """Whether u and v, which share the key at these places, can be similar: at most the lesser place of shared shingles comes
+    before it, at most the lesser rest after it."""
+    rest = F.least(F.col("u_size") - F.col("u_place"), F.col("v_size") - F.col("v_place"))
+    most = F.least(F.least("u_place", "v_place") + rest, F.least("u_size", "v_size"))
+    return _enough(most, "u_size", "v_size")
+
+
+def _parts(rows: DataFrame, edges: DataFrame | None) -> DataFrame:
+    if edges is None:
+        return rows.withColumn("part", F.col("node"))
+    of = connected_components(edges).select("node", F.col("component").alias("part"))
+    rows = rows.drop("part").join(of, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    rows = materialise(rows, "similar-parts")
+    mixed = rows.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("key")
+    return rows.join(mixed, "key", "left_semi")
+
+
+def similar_pairs(prints: DataFrame) -> DataFrame:
+    """Edges (u, v) between nodes of `prints` (node, shingles, prefix, b0, ...; a written table), all of them similar; their components
+    are those of all similar pairs."""
+    filed = prints.select("node", F.size("shingles").alias("size"), F.posexplode("prefix").alias("place", "key"))
+    by_key = Window.partitionBy("key").orderBy("node")
+    filed = filed.withColumn("before", F.lag("node").over(by_key)).withColumn("after", F.lead("node").over(by_key))
+    met = filed.where("(before is not null or after is not null) and (before is null or before <> node)")
+    met = materialise(met.select("key", "node", "size", "place"), "similar-filed")
+    wanted = met.select("node").distinct()
+    bits = [f"b{k}" for k in range(BITMAP)]
+    slim = materialise(prints.select("node", F.size("shingles").alias("size"), *bits).join(wanted, "node", "left_semi").dropDuplicates(["node"]), "similar-bitmaps")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        for x in ("u", "v"):
+            pairs = pairs.join(slim.select(F.col("node").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("size", *bits))), x)
+        differ = reduce(add, (F.bit_count(F.col(f"u_{b}").bitwiseXOR(F.col(f"v_{b}"))) for b in bits))
+        close = differ * sum(SIMILAR) <= (F.col("u_size") + F.col("v_size")) * (SIMILAR[1] - SIMILAR[0])
+        pairs = materialise(pairs.where(close).select("u", "v"), "similar-candidates")
+        nodes = materialise(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "similar-nodes")
+        sets = materialise(prints.select("node", "shingles").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "similar-sets")
+        both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("us")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("vs")), "v")
+        both = both.select("u", "v", F.size("us").alias("u_size"), F.size("vs").alias("v_size"), F.size(F.array_intersect("us", "vs")).alias("shared"))
+        return materialise(both.where(_enough(F.col("shared"), "u_size", "v_size")).select("u", "v"), "similar-links")
+
+    edges = None
+    for turn in range(PIVOTS):
+        rows = _parts(met, edges)
+        pivot = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "size", "place", "part")).alias("m"))
+        pivot = pivot.select("key", F.col("m.h").alias("h"), *(F.col(f"m.{c}").alias(f"v{'' if c == 'node' else '_' + c}") for c in ("node", "size", "place", "part")))
+        pairs = _side(rows, "u", "part").join(pivot, "key").where((F.col("u_part") != F.col("v_part")) & _near())
+        links = verified(pairs.groupBy("u").agg(F.min(F.struct("h", "v")).alias("m")).select("u", "m.v"))
+        edges = links if edges is None else edges.union(links)
+    rows = _parts(met, edges)
+    pairs = _side(rows, "u", "part").join(_side(rows, "v", "part"), "key").where((F.col("u") > F.col("v")) & (F.col("u_part") != F.col("v_part")) & _near())
+    return edges.union(verified(pairs.select("u", "v").distinct()))
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose id is the smallest of its component; of several texts with that id, the one whose SHA-256 is
+    the smallest."""
+    slim = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text").withColumn("sha", _hashed("text")).where("doc_id is not null")
+    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(slim, shingle))
+    schema = "doc_id long, sha string, node long, shingles array<long>, prefix array<long>, " + ", ".join(f"b{k} long" for k in range(BITMAP))
+    prints = materialise(map_batches(slim, schema, _prints(shingle, shared)), "similar-prints")
+    parts = connected_components(similar_pairs(prints))
+    rows = prints.select("doc_id", "sha", "node").join(parts, "node", "left").select("doc_id", "sha", F.coalesce("component", "node").alias("part"))
+    rows = materialise(rows, "similar-rows")
+    best = rows.groupBy("part").agg(F.min(F.struct("doc_id", "sha")).alias("best"))
+    gone = rows.join(best, "part").where((F.col("doc_id") != F.col("best.doc_id")) | (F.col("sha") != F.col("best.sha")))
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha")).distinct()
+    return docs.join(gone, (docs[f"`{id_col}`"] == gone["gone_id"]) & (_hashed(text_col) == gone["gone_sha"]), "left_anti")

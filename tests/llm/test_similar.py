@@ -1,0 +1,56 @@
+import random
+
+from factweave.llm import similar as S
+
+
+def sets_of(text, k=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def kept_by_hand(rows):
+    sets = [sets_of(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {g: min(rows[i][0] for i in range(len(rows)) if group[i] == g) for g in group}
+    return sorted(r for r, g in zip(rows, group, strict=True) if r[0] == least[g])
+
+
+def kept(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return sorted((r.doc_id, r.text) for r in S.keep_one(docs).collect())
+
+
+def new(rnd, n):
+    return [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+
+
+def test_no_isolated_pair_is_lost(spark):
+    """Pairs at 0.8 and just below, from 4 shingles against 5 up to hundreds, that nothing else bridges."""
+    rnd, rows = random.Random(4), []
+    for n in [8, 8, 8, 9, 13, 14, 40, 104, 304] * 25:
+        w = new(rnd, n)
+        more = (n - 4) // 4
+        rows.append((len(rows), " ".join(w)))
+        rows.append((len(rows), " ".join(w + new(rnd, more + rnd.randrange(2)))))
+    want = kept_by_hand(rows)
+    assert len(rows) / 2 < len(want) < len(rows)
+    assert kept(spark, rows) == want
+
+
+def test_dense_groups_and_common_lines_like_all_pairs(spark):
+    rnd, rows = random.Random(7), [(0, ""), (1, "a b"), (2, "A  b"), (3, "x " * 50)]
+    line = new(rnd, 12)
+    for _ in range(6):
+        base = new(rnd, 60)
+        for _ in range(25):
+            w = base[:]
+            for at in rnd.sample(range(60), rnd.randrange(5)):
+                w[at] = new(rnd, 1)[0]
+            rows.append((len(rows), " ".join(w + line * rnd.randrange(3))))
+    assert kept(spark, rows) == kept_by_hand(rows)
