@@ -54,3 +54,11 @@ def test_dense_groups_and_common_lines_like_all_pairs(spark):
                 w[at] = new(rnd, 1)[0]
             rows.append((len(rows), " ".join(w + line * rnd.randrange(3))))
     assert kept(spark, rows) == kept_by_hand(rows)
+
+
+def test_repeats_count_once(spark):
+    rnd = random.Random(11)
+    body, line = new(rnd, 300), new(rnd, 12)
+    rows = [(1, " ".join(body + line)), (2, " ".join(body + line * 5))]  # similarity above 0.9
+    rows += [(k, " ".join(new(rnd, 300) + line * 20)) for k in (3, 4)]  # below 0.1
+    assert kept(spark, rows) == [rows[0], *rows[2:]] == kept_by_hand(rows)
