@@ -62,3 +62,10 @@ def test_repeats_count_once(spark):
     rows = [(1, " ".join(body + line)), (2, " ".join(body + line * 5))]  # similarity above 0.9
     rows += [(k, " ".join(new(rnd, 300) + line * 20)) for k in (3, 4)]  # below 0.1
     assert kept(spark, rows) == [rows[0], *rows[2:]] == kept_by_hand(rows)
+
+
+def test_repeated_ids_with_different_texts(spark):
+    rnd = random.Random(12)
+    a, b, c = (" ".join(new(rnd, 40)) for _ in range(3))
+    assert kept(spark, [(3, a), (7, a + " tail"), (7, b), (9, b + " end"), (9, c), (9, c)]) == sorted([(3, a), (7, b), (9, c), (9, c)])
+    assert kept(spark, [(5, a), (5, a + " tail"), (5, b)]) in ([(5, x), (5, b)] if x < b else [(5, b), (5, x)] for x in (a, a + " tail"))
