@@ -98,3 +98,28 @@ def test_blocks_and_odd_rows(spark):
     assert sorted(r.text or "" for r in D.keep_clean(docs, bench).collect()) == ["", "", "too short"]
     assert D.keep_clean(docs, bench).columns == docs.columns
     assert D.leaks(docs, bench.limit(0)).count() == 0 and D.keep_clean(docs, bench.limit(0)).count() == 5 and D.leaks(docs.limit(0), bench).count() == 0
+
+
+def test_every_leak_at_exactly_the_threshold_is_found():
+    """floor(0.2 n) edits spread evenly, from 30 to 400 words: a replaced word, or words put in and left out."""
+    rnd = random.Random(21)
+    hashes = lambda words: D.xxh64_spans((w := D.Words([" ".join(words).encode()])).raw, w.starts, w.ends)
+    for n in (30, 57, 100, 200, 400):
+        items = [(k, [f"w{rnd.randrange(3000)}" for _ in range(n)]) for k in range(6)]
+        block = D.Items.of([(k, " ".join(w)) for k, w in items])
+        d = int(0.2 * n + 1e-9)
+        for k, words in items:
+            for shape in range(3):
+                text = words[:]
+                for j in reversed(range(d)):
+                    at = j * n // d + rnd.randrange(n // d)
+                    if shape == 0 or (shape == 2 and j % 3 == 0):
+                        text[at] = f"new{j}"
+                    elif j % 2:
+                        text.insert(at, f"new{j}")
+                    else:
+                        del text[at]
+                around = [[f"w{rnd.randrange(3000)}" for _ in range(50)] for _ in range(2)]
+                got = block.search(hashes(around[0] + text + around[1]))
+                assert set(got) == {k} and got[k][0] <= d
+                assert edit_infix(words, around[0] + text + around[1]) == got[k][0]
