@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import map_batches, materialise, only
 
 COUNTERS = 512
+#: What the normalised text leaves out.
+SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def _digests():
@@ -90,6 +93,8 @@ def resolve(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay (see the module's text)."""
     found = resolve(materialise(digests(docs, id_col, text_col), "digests"))
-    gone = found.where("not kept").select(F.col("doc_id").alias("gone"), "points").distinct()
-    on = docs[f"`{id_col}`"].eqNullSafe(gone["gone"]) & (F.char_length(F.coalesce(docs[f"`{text_col}`"], F.lit(""))) == gone["points"])
+    gone = found.where("not kept").select(F.col("doc_id").alias("gone"), "digest", "points").distinct()
+    text = F.coalesce(docs[f"`{text_col}`"], F.lit(""))
+    plain = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit("")), SPACE, text)
+    on = docs[f"`{id_col}`"].eqNullSafe(gone["gone"]) & (F.char_length(text) == gone["points"]) & (F.unhex(F.sha2(plain, 256)) == gone["digest"])
     return docs.join(gone, on, "left_anti")

@@ -41,3 +41,9 @@ def test_misra_gries_bound():
         low.update(data[k : k + 50])
         low = E.shrink(low, 9)
     assert len(low) <= 9 and all(true[x] - 5000 / 10 <= low[x] <= true[x] for x in true)
+
+
+def test_only_the_copies_go(spark):
+    docs = spark.createDataFrame([(None, "a"), (4, "a"), (4, "a"), (None, "b"), (None, None), (5, "é \x0bé"), (6, "é\t\r\n\x0cé"), (6, "e\t\r\n\x0ce"), (5, "xyé")], "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.text or "") for r in E.keep_one(docs).collect())
+    assert got == [(-1, ""), (-1, "b"), (4, "a"), (4, "a"), (5, "xyé"), (6, "e\t\r\n\x0ce"), (6, "é\t\r\n\x0cé")]
