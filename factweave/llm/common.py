@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -21,9 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where that is unset, as in local tests, a temporary one."""
+    """The folder named by spark.checkpoint.dir. Only a local session that has none gets a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="factweave-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
@@ -32,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses; what is written there goes when the driver ends."""
+    """A path below the shared folder that no other run uses; what is written there goes when the driver ends, if not before."""
     path = f"{shared_dir(spark)}/factweave/{label}-{uuid.uuid4().hex}"
     atexit.register(_delete, spark, path)
     return path
@@ -52,7 +56,38 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[back] = path
+    return back
+
+
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes what materialise() wrote for these; nothing may read them afterwards."""
+    for df in frames:
+        _delete(df.sparkSession, _WRITTEN.pop(df))
+
+
+#: Slots of the bitmap that says which rows a join could concern: 512 rows of 4 KB, 2 MB however many rows there are.
+SLOTS = 1 << 24
+
+
+def parted(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(rows whose id may be in `ids` (one column), rows whose id is surely not), told apart where they lie.
+
+    A bitmap over hashes of the ids is broadcast, of SLOTS bits at most. Only the former rows need to move for a join by id.
+    """
+    slot = F.pmod(F.xxhash64(F.col(ids.columns[0]).cast("long")), F.lit(SLOTS))
+    bits = ids.select(F.bitmap_bucket_number(slot).alias("bucket__"), F.bitmap_bit_position(slot).alias("bit__"))
+    bits = bits.groupBy("bucket__").agg(F.bitmap_construct_agg("bit__").alias("bits__"))
+    own = F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long")), F.lit(SLOTS))
+    marked = docs.withColumn("slot__", own).join(F.broadcast(materialise(bits, "bitmap")), F.bitmap_bucket_number("slot__") == F.col("bucket__"), "left")
+    at = F.bitmap_bit_position("slot__")
+    byte = F.ascii(F.decode(F.substring("bits__", F.floor(at / 8) + 1, F.lit(1)), "ISO-8859-1"))
+    there = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return tuple(marked.where(there if way else ~there).select(*(F.col(f"`{c}`") for c in docs.columns)) for way in (True, False))
 
 
 def remainder(id_column: Column, by: int) -> Column:

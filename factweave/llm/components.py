@@ -8,10 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, release
 
 #: Edges that one union-find in a task holds before it hands on a spanning forest of them.
-FOREST_EDGES = 500_000
+FOREST_EDGES = 200_000
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,29 +43,37 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 60, small: int = FOREST_EDGES) -> DataFrame:
     """(node, component) for every node that has an edge; the component is its smallest node.
 
     edges: two long columns u, v; directions, repeats and loops don't matter, rows with a null are no edges.
-    Every task first contracts its own edges to a forest; then large-star and small-star rounds run until the
+    Every task first contracts its own edges to a forest, which is contracted in one task if it has at most FOREST_EDGES; else large-star and small-star rounds run until the
     edges stay as they are, which takes a number of rounds that grows with the logarithm of the longest chain.
     """
     pairs = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u is not null and v is not null and u <> v")
     now = materialise(pairs.mapInArrow(_forest, "u long, v long").distinct(), "edges")
+    if now.count() <= small:  # then one task can hold them
+        stars = materialise(now.coalesce(1).mapInArrow(_forest, "u long, v long"), "stars")
+        return _rows(stars)
     mark = None
     for _ in range(max_rounds):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         first = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(first, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(first.select("u", F.col("m").alias("v")))
-        small = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-        now = materialise(small, "edges")
+        fewer = large.join(first, "u")
+        fewer = fewer.select(F.col("v").alias("u"), F.col("m").alias("v")).union(first.select("u", F.col("m").alias("v")))
+        fewer = fewer.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+        before, now = now, materialise(fewer, "edges")
         here = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        release(before)
         if here == mark:
             break
         mark = here
     else:
         raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return _rows(now)
+
+
+def _rows(stars: DataFrame) -> DataFrame:
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

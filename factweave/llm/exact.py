@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, only
+from .common import map_batches, materialise, only, parted
 
 COUNTERS = 512
 #: What the normalised text leaves out.
@@ -93,8 +93,9 @@ def resolve(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay (see the module's text)."""
     found = resolve(materialise(digests(docs, id_col, text_col), "digests"))
-    gone = found.where("not kept").select(F.col("doc_id").alias("gone"), "digest", "points").distinct()
-    text = F.coalesce(docs[f"`{text_col}`"], F.lit(""))
+    gone = materialise(found.where("not kept").select(F.col("doc_id").alias("gone"), "digest", "points").distinct(), "gone")
+    few, rest = parted(docs, gone.select("gone"), id_col)
+    text = F.coalesce(few[f"`{text_col}`"], F.lit(""))
     plain = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit("")), SPACE, text)
-    on = docs[f"`{id_col}`"].eqNullSafe(gone["gone"]) & (F.char_length(text) == gone["points"]) & (F.unhex(F.sha2(plain, 256)) == gone["digest"])
-    return docs.join(gone, on, "left_anti")
+    on = few[f"`{id_col}`"].eqNullSafe(gone["gone"]) & (F.char_length(text) == gone["points"]) & (F.unhex(F.sha2(plain, 256)) == gone["digest"])
+    return rest.union(few.join(gone, on, "left_anti"))

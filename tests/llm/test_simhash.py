@@ -54,7 +54,7 @@ def test_op4_rule_against_brute_force(spark):
 
 
 def test_index_finds_every_pair_within_four_bits(spark):
-    assert S.EXACT_4.exact and not S.SIMILAR_80.exact
+    assert S.EXACT_4.exact and S.EXACT_4_WIDE.exact and not S.similar_index(10**6).exact
     rnd = random.Random(8)
     prints = {}
     for _ in range(150):
@@ -64,8 +64,9 @@ def test_index_finds_every_pair_within_four_bits(spark):
             for b in rnd.sample(range(64), rnd.choice((1, 3, 4, 5))):
                 f ^= 1 << b
     df = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in prints.items()], "doc_id long, f0 long")
-    got = {r.doc_id: r.component_id for r in S.near_duplicates(df).collect()}
-    assert got == comp_by_hand(prints, 4)
+    for index in (S.EXACT_4, S.EXACT_4_WIDE):
+        got = {r.doc_id: r.component_id for r in S.near_duplicates(df, index).collect()}
+        assert got == comp_by_hand(prints, 4)
 
 
 def test_empty_table_null_and_repeated_ids(spark):
@@ -79,21 +80,74 @@ def test_empty_table_null_and_repeated_ids(spark):
 @pytest.mark.parametrize("n", [2, 50])
 def test_components_of_chains(spark, n):
     df = spark.createDataFrame([(k, k + 1) for k in range(n)] + [(100, 100), (None, 3), (201, 200)], "u long, v long").repartition(4)
-    got = {r.node: r.component for r in connected_components(df).collect()}
-    assert got == {**{k: 0 for k in range(n + 1)}, 200: 200, 201: 200}
+    for small in (0, 1000):
+        got = {r.node: r.component for r in connected_components(df, small=small).collect()}
+        assert got == {**{k: 0 for k in range(n + 1)}, 200: 200, 201: 200}
 
 
-def test_similar_documents_leave_one(spark):
-    rnd = random.Random(2)
-    rows, base = [], []
-    for _ in range(30):
-        w = [f"w{rnd.randrange(5000)}" for _ in range(400)]
-        base.append(len(rows))
+def sets_of(text, k=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def kept_by_hand(rows):
+    sets = [sets_of(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {g: min(rows[i][0] for i in range(len(rows)) if group[i] == g) for g in group}
+    return sorted(r for r, g in zip(rows, group, strict=True) if r[0] == least[g])
+
+
+def kept(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return sorted((r.doc_id, r.text) for r in S.keep_one(docs).collect())
+
+
+def new(rnd, n):
+    return [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+
+
+def test_no_isolated_pair_is_lost(spark):
+    """Pairs at 0.8 and just below, from 4 shingles against 5 up to hundreds, that nothing else bridges."""
+    rnd, rows = random.Random(4), []
+    for n in [8, 8, 8, 9, 13, 14, 40, 104, 304] * 25:
+        w = new(rnd, n)
+        more = (n - 4) // 4
         rows.append((len(rows), " ".join(w)))
-        for _ in range(3):
-            v = w[:]
-            for k in rnd.sample(range(400), 4):
-                v[k] = "new%d" % rnd.randrange(99)
-            rows.append((len(rows), " ".join(v)))
-    kept = [r.doc_id for r in S.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
-    assert sorted(kept) == base
+        rows.append((len(rows), " ".join(w + new(rnd, more + rnd.randrange(2)))))
+    want = kept_by_hand(rows)
+    assert len(rows) / 2 < len(want) < len(rows)
+    assert kept(spark, rows) == want
+
+
+def test_dense_groups_and_common_lines_like_all_pairs(spark):
+    rnd, rows = random.Random(7), [(0, ""), (1, "a b"), (2, "A  b"), (3, "x " * 50)]
+    line = new(rnd, 12)
+    for _ in range(6):
+        base = new(rnd, 60)
+        for _ in range(25):
+            w = base[:]
+            for at in rnd.sample(range(60), rnd.randrange(5)):
+                w[at] = new(rnd, 1)[0]
+            rows.append((len(rows), " ".join(w + line * rnd.randrange(3))))
+    assert kept(spark, rows) == kept_by_hand(rows)
+
+
+def test_repeats_count_once(spark):
+    rnd = random.Random(11)
+    body, line = new(rnd, 300), new(rnd, 12)
+    rows = [(1, " ".join(body + line)), (2, " ".join(body + line * 5))]  # similarity above 0.9
+    rows += [(k, " ".join(new(rnd, 300) + line * 20)) for k in (3, 4)]  # below 0.1
+    assert kept(spark, rows) == [rows[0], *rows[2:]] == kept_by_hand(rows)
+
+
+def test_repeated_ids_with_different_texts(spark):
+    rnd = random.Random(12)
+    a, b, c = (" ".join(new(rnd, 40)) for _ in range(3))
+    assert kept(spark, [(3, a), (7, a + " tail"), (7, b), (9, b + " end"), (9, c), (9, c)]) == sorted([(3, a), (7, b), (9, c), (9, c)])
+    assert kept(spark, [(5, a), (5, a + " tail"), (5, b)]) in ([(5, x), (5, b)] if x < b else [(5, b), (5, x)] for x in (a, a + " tail"))
