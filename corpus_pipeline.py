@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from factweave.llm import bpe, decontam, exact, quality, similar
+from factweave.llm import bpe, decontam, exact, quality, simhash
 from factweave.llm.common import materialise, table
 from factweave.llm.queries import quality_labels
 
@@ -25,7 +25,7 @@ def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity of 0.8 or more."""
-    return similar.keep_one(docs, shingle=5)
+    return simhash.keep_one(docs, shingle=5)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
