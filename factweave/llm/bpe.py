@@ -5,7 +5,8 @@ of the pair whose left part starts at byte i, with i in its low bits, so the roo
 merge changes three leaves at most: the pair's own, that of the part it swallowed, and that of the live neighbour before
 it; each is a point update of logarithmic cost, so a piece of n bytes takes O(n log n) however long it is.
 
-Most pieces repeat. Each worker process keeps a bounded memo of pieces; it never changes a result.
+Most pieces repeat. Each worker process keeps a bounded memo of pieces, and of the parts of texts (see parts); neither ever
+changes a result.
 
 Defined cases: null counts as the empty text, which has no tokens; lone bytes that form no token of their own, an id that
 the vocabulary lacks: ValueError; repeated rows and ids are encoded row by row; no rows give no rows.
@@ -15,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Callable
 
 import numpy as np
@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, only
+from .parts import Parts, runs
 
 #: More than any rank with a position.
 NONE = 1 << 62
-#: Pieces that a worker process remembers, for each of its two memos; about 200 bytes each.
-MEMO = 500_000
+#: Pieces that a worker process remembers; about 200 bytes each.
+MEMO = 100_000
 
 
 class Memo(dict):
@@ -46,19 +47,6 @@ class Memo(dict):
         return made
 
 
-#: Two neighbouring white-space characters, by the widest definition; texts without any can be cut before each space.
-TWO_SPACES = re.compile(r"\s\s")
-
-
-def cut(text: str) -> list[str] | None:
-    """The parts between single spaces, or None where a tokenizer's pattern may look across one.
-
-    Without two neighbouring white-space characters every piece of the GPT-2 pattern that holds a space starts with it, so
-    a part is tokenized alike wherever it stands. All parts but the first have the space before them as their own.
-    """
-    return None if TWO_SPACES.search(text) else text.split(" ")
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as file:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
@@ -74,9 +62,10 @@ class Bpe:
         self.find = regex.compile(pattern).findall
         self.token = {rank: raw for raw, rank in ranks.items()}
         self.pieces = Memo(lambda piece: np.array(self.merge(piece.encode()), "<u4").tobytes())
-        self.parts = Memo(lambda part: b"".join(map(self.pieces.__getitem__, self.find(" " + part))))
+        self.parts = Parts(lambda strings: list(map(self.whole, strings)), self.whole, np.dtype("<u4"))
         top = max(ranks.values(), default=-1) + 1
-        self.text_of = [str(k) for k in range(top)]
+        self.decimal = pa.array([f"{k}," for k in range(top)], pa.large_string())
+        self.bytes = pa.array([self.token.get(k) for k in range(top)], pa.large_binary())
 
     def merge(self, raw: bytes) -> list[int]:
         """The ids of one piece."""
@@ -133,26 +122,22 @@ class Bpe:
             i = e
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a text, as unsigned 32-bit integers."""
-        if not text:
-            return np.zeros(0, "<u4")
-        parts = cut(text)
-        if parts is None:
-            raw = b"".join(map(self.pieces.__getitem__, self.find(text)))
-        else:
-            head = b"".join(map(self.pieces.__getitem__, self.find(parts[0])))
-            raw = head + b"".join(map(self.parts.__getitem__, parts[1:]))
-        return np.frombuffer(raw, "<u4")
+    def whole(self, text: str) -> np.ndarray:
+        """The ids of a text, piece by piece, as unsigned 32-bit integers."""
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.find(text))), "<u4")
 
-    def decode(self, ids: list[int]) -> bytes:
-        try:
-            return b"".join(map(self.token.__getitem__, ids))
-        except KeyError as unknown:
-            raise ValueError(f"no token has id {unknown.args[0]}") from None
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after the other; bounds of each text's)."""
+        return self.parts.batch(texts)
 
-    def decimal(self, ids: list[int]) -> str:
-        return ",".join(map(self.text_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> pa.Array:
+        """The bytes of each id."""
+        if len(ids) and (int(ids.max()) >= len(self.bytes) or int(ids.min()) < 0):
+            raise ValueError("no token has such an id")
+        raw = self.bytes.take(pa.array(ids))
+        if raw.null_count:
+            raise ValueError("no token has such an id")
+        return raw
 
 
 _LOADED: dict[tuple[str, str], Bpe] = {}
@@ -165,23 +150,37 @@ def load(path: str, pattern: str) -> Bpe:
     return _LOADED[path, pattern]
 
 
-def _each_text(path: str, pattern: str, one: Callable[[Bpe, np.ndarray], tuple], names: tuple[str, ...]) -> Callable[[], Callable[[pa.RecordBatch], dict]]:
+def _each_run(path: str, pattern: str, one: Callable[[Bpe, np.ndarray, np.ndarray], dict]) -> Callable[[], Callable[[pa.RecordBatch], dict]]:
     def work() -> Callable[[pa.RecordBatch], dict]:
         bpe = load(path, pattern)
 
         def batch_of(batch: pa.RecordBatch) -> dict:
-            rows = [one(bpe, bpe.encode(text.as_py() or "")) for text in batch.column("text")]
-            return {"doc_id": batch.column("doc_id")} | dict(zip(names, zip(*rows, strict=True), strict=True))
+            texts, out = batch.column("text"), None
+            for first, end in runs(texts):
+                got = one(bpe, *bpe.encode(texts[first:end]))
+                out = got if out is None else {k: [*out[k], *v] for k, v in got.items()}
+            return {"doc_id": batch.column("doc_id")} | out
 
         return batch_of
 
     return work
 
 
+def _lists(ids: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    return np.split(ids.astype(np.int32), bounds[1:-1])
+
+
+def _joined(strings: pa.Array, bounds: np.ndarray, less: int = 0) -> list[memoryview]:
+    """What strings[bounds[k]:bounds[k + 1]] have together, but for the last `less` bytes of each."""
+    at = np.frombuffer(strings.buffers()[1], np.int64, len(strings) + 1, 8 * strings.offset)[bounds].tolist()
+    raw = memoryview(strings.buffers()[2] or b"")
+    return [raw[a : max(a, b - less)] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids (array<int>)."""
     slim = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
-    return map_batches(slim, "doc_id long, n_tokens long, ids array<int>", _each_text(path, pattern, lambda _, ids: (len(ids), ids.astype(np.int32)), ("n_tokens", "ids")))
+    return map_batches(slim, "doc_id long, n_tokens long, ids array<int>", _each_run(path, pattern, lambda _, ids, at: {"n_tokens": np.diff(at), "ids": _lists(ids, at)}))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -189,14 +188,15 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def work() -> Callable[[pa.RecordBatch], dict]:
         bpe = load(path, pattern)
-        return lambda batch: {"doc_id": batch.column("doc_id"), "text": [bpe.decode(ids or []).decode(errors="replace") for ids in batch.column("ids").to_pylist()]}
+        return lambda batch: {"doc_id": batch.column("doc_id"), "text": [b"".join(bpe.decode(np.array(ids or [], np.int64)).to_pylist()).decode(errors="replace") for ids in batch.column("ids").to_pylist()]}
 
     return map_batches(encoded.select("doc_id", "ids"), "doc_id long, text string", work)
 
 
-def _digests(bpe: Bpe, ids: np.ndarray) -> tuple:
-    plain = ids.tolist()
-    return len(plain), hashlib.sha256(bpe.decimal(plain).encode()).hexdigest(), hashlib.sha256(bpe.decode(plain)).hexdigest()
+def _digests(bpe: Bpe, ids: np.ndarray, at: np.ndarray) -> dict:
+    where = pa.array(ids)
+    hashed = {"ids_sha256": _joined(bpe.decimal.take(where), at, 1), "decoded_sha256": _joined(bpe.decode(ids), at)}
+    return {"n_tokens": np.diff(at)} | {k: [hashlib.sha256(x).hexdigest() for x in v] for k, v in hashed.items()}
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,7 +205,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False,
     ids_sha256 is that of the decimal ids joined by commas, decoded_sha256 that of the bytes decoded from the ids.
     """
     slim = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
-    names, schema = ("n_tokens", "ids_sha256", "decoded_sha256"), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if with_ids:
-        return map_batches(slim, schema + ", ids array<int>", _each_text(path, pattern, lambda b, ids: (*_digests(b, ids), ids.astype(np.int32)), (*names, "ids")))
-    return map_batches(slim, schema, _each_text(path, pattern, _digests, names))
+        return map_batches(slim, schema + ", ids array<int>", _each_run(path, pattern, lambda b, ids, at: _digests(b, ids, at) | {"ids": _lists(ids, at)}))
+    return map_batches(slim, schema, _each_run(path, pattern, _digests))

@@ -13,12 +13,15 @@ checksums of data that hold checksums stay useful. Spark's own text writer, whic
 any store that Spark writes to will do, and its commit protocol covers lost executors and repeated attempts.
 
 Files lie in folders shard=N, by ranges of doc_id; in the order of (shard, file name) the records ascend by doc_id, null
-first. A file holds at most RECORDS_PER_FILE records, so reading one whole takes bounded memory. The index (Parquet) has
-for each record its shard, file, byte offset, byte length, doc_id, number of ids and place in its file, for reads in any
-order; it is made by reading the files, which verifies both checksums of every record.
-
-Defined cases: null counts as the empty text, which has the end id alone; repeated doc_ids keep all their records, in the
-order of their bytes; no rows give no files, and then an empty index.
+first. An id that very many rows share, null as well, has several shards. A file holds at most RECORDS_PER_FILE records; where
+texts are so long that this could make more than FILE_BYTES, folders part=N below the shard bound its bytes, too. So reading a
+file whole takes bounded memory. The index (Parquet) has for each record its shard, file, byte offset, byte length, doc_id,
+number of ids and place in its file, for reads in any order; it is made by reading the files, which verifies both checksums
+of every record.
+
+Defined cases: null counts as the empty text, which has the end id alone; one text may take as many bytes as Spark can hold in
+a value (2 GB) and then fills a file; repeated doc_ids keep all their records, in the order of their checksums and bytes;
+columns of any name besides the two are left alone; no rows give no files, and then an empty index.
 """
 
 from __future__ import annotations
@@ -26,22 +29,18 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections import deque
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import cut
 from .common import map_batches, only
+from .parts import Parts, runs
 
-#: Parts that a worker process remembers, in each of two generations.
-MEMO = 300_000
-#: Records in a file at most.
-RECORDS_PER_FILE = 2048
+#: Records in a file at most, and bytes besides those of its longest record.
+RECORDS_PER_FILE, FILE_BYTES = 2048, 1 << 29
 #: Documents in a shard, about; there are never more than MOST_SHARDS, whose bounds the driver holds.
 DOCS_PER_SHARD = 4096
 MOST_SHARDS = 20_000
@@ -92,142 +91,96 @@ def unframe_all(raw: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]
         at = after
 
 
-class Recent(dict):
-    """A memo of two generations: when the young one is full it becomes the old one, and what is used of that moves on.
-    What neither has is noted in `new` and reads as no ids."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most, self.old, self.new = most, {}, set()
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key)
-        if value is None:
-            self.new.add(key)
-            return b""
-        self[key] = value
-        return value
-
-    def turn(self) -> None:
-        if len(self) > self.most:
-            self.old = dict(self)
-            self.clear()
-
-
 class Encoder:
-    """The tokenizers library, asked for each part of text between single spaces and remembering recent answers.
-
-    Parts that are new are joined by line feeds and encoded together: the line feed is a token by itself there, so it marks
-    where each part's ids end. A text in which white space neighbours white space is encoded whole.
-    """
+    """The tokenizers library, called with add_special_tokens=False and otherwise as it is, so the strings of special tokens in
+    a text become their ids; as_text=True takes them for ordinary text. Recurring parts are asked for once (see parts)."""
 
-    def __init__(self, path: str, end_id: int | None):
+    def __init__(self, path: str, end_id: int | None, as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.lib.encode_special_tokens = as_text
         self.kind = np.dtype("<u2" if max(self.lib.get_vocab_size() - 1, end_id or 0) < 1 << 16 else "<u4")
-        self.end = b"" if end_id is None else np.array([end_id], self.kind).tobytes()
-        line = self.lib.encode("\n", add_special_tokens=False).ids
-        self.line = line[0] if len(line) == 1 else None
-        self.parts = Recent(MEMO)
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _learn(self) -> None:
-        """Asks for what is new."""
-        new, self.parts.new = self.parts.new, set()
-        together = [p for p in new if p and "\n" not in p] if self.line is not None else []
-        for p in new.difference(together):
-            self.parts[p] = self.whole(" " + p)
-        for k in range(0, len(together), 1000):
-            some = together[k : k + 1000]
-            ids = np.array(self.lib.encode_batch_fast([" " + "\n ".join(some) + "\n"], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.flatnonzero(ids == self.line) * self.kind.itemsize
-            if len(ends) != len(some):  # another vocabulary may join line feeds with what is beside them
-                self.parts.update((p, self.whole(" " + p)) for p in some)
-                continue
-            raw, at, wide = ids.tobytes(), 0, self.kind.itemsize
-            for p, e in zip(some, ends.tolist(), strict=True):
-                self.parts[p] = raw[at:e]
-                at = e + wide
-
-    def batch(self, texts: list[str]) -> list[np.ndarray]:
-        split = [cut(t) if t else None for t in texts]
-        self.parts.turn()
-        get = self.parts.__getitem__
-        for parts in split:
-            if parts:
-                deque(map(get, islice(parts, 1, None)), 0)
-        if self.parts.new:
-            self._learn()
-        out = []
-        for text, parts in zip(texts, split, strict=True):
-            if not text:
-                raw = b""
-            elif parts is None:
-                raw = self.whole(text)
-            else:
-                raw = (self.whole(parts[0]) if parts[0] else b"") + b"".join(map(get, islice(parts, 1, None)))
-            out.append(np.frombuffer(raw + self.end, self.kind))
-        return out
+        self.end = np.array([] if end_id is None else [end_id], self.kind)
+        added = tuple(t.content for t in self.lib.get_added_tokens_decoder().values())
+        self.parts = Parts(self._learn, self.whole, self.kind, added)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def _learn(self, strings: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in self.lib.encode_batch_fast(strings, add_special_tokens=False)]
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, with the end id."""
+        ids, bounds = self.parts.batch(texts)
+        if len(self.end):
+            ids = np.insert(ids, bounds[1:], self.end[0])
+            bounds = bounds + np.arange(len(bounds))
+        return np.split(ids, bounds[1:-1])
 
 
 _LOADED: dict[tuple, Encoder] = {}
 
 
-def load(path: str, end_id: int | None) -> Encoder:
+def load(path: str, end_id: int | None, as_text: bool = False) -> Encoder:
     """One for each process, with its memo."""
-    if (path, end_id) not in _LOADED:
-        _LOADED[path, end_id] = Encoder(path, end_id)
-    return _LOADED[path, end_id]
+    if (path, end_id, as_text) not in _LOADED:
+        _LOADED[path, end_id, as_text] = Encoder(path, end_id, as_text)
+    return _LOADED[path, end_id, as_text]
 
 
-def _text_runs(batch: pa.RecordBatch, budget: int = 4_000_000) -> Iterator[list[str]]:
-    run, size = [], 0
-    for value in batch.column("text"):
-        text = value.as_py() or ""
-        if run and size + len(text) > budget:
-            yield run
-            run, size = [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield run
+def shard_of(ids: np.ndarray, null: np.ndarray, marks: np.ndarray, bounds: np.ndarray, null_shards: int) -> np.ndarray:
+    """The shard of each record: null ids have the negative ones, dealt by ranges of their marks (32 bits each); others those
+    between the bounds. An id that is several bounds at once has rows for several shards, dealt alike."""
+    lo, hi = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
+    often = np.maximum(hi - lo, 1)
+    shard = np.where(hi - lo > 1, lo + 1 + (marks * often >> 32), hi)
+    return np.where(null, (marks * null_shards >> 32) - null_shards, shard)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, as_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every text and writes the records below path."""
     slim = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
-    n = slim.count()
-    shards = max(1, min(MOST_SHARDS, -(-n // DOCS_PER_SHARD)))
+    seen = slim.agg(F.count("*").alias("n"), F.count("doc_id").alias("ids"), F.max(F.octet_length("text")).alias("longest")).first()
+    shards = max(1, min(MOST_SHARDS, -(-seen.ids // DOCS_PER_SHARD)))
     cuts = slim.agg(F.percentile_approx("doc_id", [k / shards for k in range(1, shards)], 10 * shards)).first()[0] if shards > 1 else None
-    bounds = np.unique(np.array(cuts or [], np.int64))
+    bounds = np.array(cuts or [], np.int64)
+    null_shards = max(1, min(MOST_SHARDS, -(-(seen.n - seen.ids) // DOCS_PER_SHARD)))
 
     def work() -> Callable[[pa.RecordBatch], dict]:
-        encoder = load(tokenizer, end_id)
+        encoder = load(tokenizer, end_id, as_text)
 
         def one(batch: pa.RecordBatch) -> dict:
-            ids = batch.column("doc_id").to_pylist()
-            tokens = [x for run in _text_runs(batch) for x in encoder.batch(run)]
-            shard = [0 if i is None else int(np.searchsorted(bounds, i, "right")) for i in ids]
-            return {"shard": shard, "doc_id": ids, "body": [frame(i, t) for i, t in zip(ids, tokens, strict=True)]}
+            doc_id, texts = batch.column("doc_id"), batch.column("text")
+            null = doc_id.is_null().to_numpy(zero_copy_only=False)
+            ids = doc_id.fill_null(0).to_numpy()
+            tokens = [x for first, end in runs(texts) for x in encoder.batch(texts[first:end])]
+            body = [frame(None if n else i, t) for i, n, t in zip(ids.tolist(), null.tolist(), tokens, strict=True)]
+            marks = np.fromiter((struct.unpack_from("<I", x, len(x) - 5)[0] for x in body), np.int64, len(body))  # the body's checksum
+            return {"shard": shard_of(ids, null, marks, bounds, null_shards), "doc_id": doc_id, "mark": marks, "body": body}
 
         return one
 
-    framed = map_batches(slim, "shard int, doc_id long, body binary", work).repartition("shard").sortWithinPartitions("shard", "doc_id", "body")
+    framed = map_batches(slim, "shard int, doc_id long, mark long, body binary", work).repartition("shard")
+    order, folders = ["doc_id", "mark", "body"], ["shard"]
+    if 4 * (seen.longest or 0) * RECORDS_PER_FILE > FILE_BYTES:  # else no file can be longer
+        before = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        framed = framed.withColumn("part", F.floor(F.sum(F.octet_length("body")).over(before) / FILE_BYTES).cast("int"))
+        folders.append("part")
     # the body's last byte is the writer's line feed
-    rows = framed.select("shard", F.expr("cast(substring(body, 1, octet_length(body) - 1) as string)").alias("value"))
-    rows.write.option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy("shard").mode("overwrite").text(path)
+    rows = framed.sortWithinPartitions(*folders, *order).select(*folders, F.expr("cast(substring(body, 1, octet_length(body) - 1) as string)").alias("value"))
+    rows.write.option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy(*folders).mode("overwrite").text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     read = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    if "shard" not in read.columns:  # no document, no folder
-        read = read.withColumn("shard", F.lit(0))
-    return read.select(F.col("shard").cast("int").alias("shard"), F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    for folder in ("shard", "part"):
+        if folder not in read.columns:  # no document, or no file that needs parts
+            read = read.withColumn(folder, F.lit(0))
+    name = F.concat(F.lpad(F.col("part").cast("string"), 9, "0"), F.lit("/"), F.element_at(F.split("path", "/"), -1))
+    return read.select(F.col("shard").cast("int").alias("shard"), name.alias("file"), "content")
 
 
 def build_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:

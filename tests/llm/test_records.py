@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,7 +18,6 @@ TEXTS = [None, "", " ", "a  b", "<|endoftext|> x", "a\nb c\n", "x\x1c \x85 y", "
 @pytest.fixture(scope="module")
 def lib():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [0]
 
 
@@ -34,7 +34,7 @@ def test_round_trip_of_files(spark, lib, tmp_path):
     index = R.build_index(spark, str(tmp_path / "r"), str(tmp_path / "i"))
     got = sorted(R.with_starts(index).collect(), key=lambda r: r.start)
     want = sorted(((-(10**9) if i is None else i), lib(t)) for i, t in rows)
-    assert len({r.shard for r in got}) == 4 and len({(r.shard, r.file) for r in got}) > 8
+    assert len({r.shard for r in got}) == 5 and len({(r.shard, r.file) for r in got}) > 8
     at = 0
     for r, (i, ids) in zip(got, sorted(want, key=lambda w: w[0]), strict=True):
         assert (-(10**9) if r.doc_id is None else r.doc_id) == i and r.start == at
@@ -67,11 +67,11 @@ def test_damage_is_found():
 def test_memo_and_whole_texts_agree(lib):
     e = R.Encoder(PATH, 0)
     for t in TEXTS * 2:
-        assert e.batch([t or ""])[0].tolist() == lib(t)
+        assert e.batch(pa.array([t], pa.string()))[0].tolist() == lib(t)
     e.parts.most = 2
     for _ in range(2):
         texts = ["a b c d e,", "c d f's g!?\u2028x", "a 'd, b-c 12th", " a b ", "a word, word. ß! x' y_"]
-        assert [x.tolist() for x in e.batch(texts)] == [lib(t) for t in texts]
+        assert [x.tolist() for x in e.batch(pa.array(texts))] == [lib(t) for t in texts]
 
 
 @settings(max_examples=200, deadline=None)
@@ -79,4 +79,34 @@ def test_memo_and_whole_texts_agree(lib):
 def test_any_text(lib, one, two):
     e = R.load(PATH, 0)
     texts = [one, two, f"x {one} {two} y"]
-    assert [x.tolist() for x in e.batch(texts)] == [lib(t) for t in texts]
+    assert [x.tolist() for x in e.batch(pa.array(texts))] == [lib(t) for t in texts]
+
+
+def test_special_strings_are_as_the_plain_library_has_them():
+    plain = Tokenizer.from_file(PATH)
+    texts = pa.array(["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b c", "hello world"])
+    assert [x.tolist() for x in R.Encoder(PATH, None).batch(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert 50256 in R.Encoder(PATH, None).batch(texts)[0]
+    plain.encode_special_tokens = True
+    assert [x.tolist() for x in R.Encoder(PATH, None, as_text=True).batch(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+
+
+def test_long_texts_and_hot_ids_fill_several_files(spark, lib, tmp_path):
+    rnd = random.Random(6)
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, " ".join(rnd.choice(["a", "bc", "d-e"]) for _ in range(rnd.randrange(3, 60)))) for k in range(600)] + [(8, "very long " * 30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    old, R.DOCS_PER_SHARD, R.FILE_BYTES = (R.DOCS_PER_SHARD, R.FILE_BYTES), 50, 4000
+    try:
+        R.write(docs, str(tmp_path / "r"), PATH)
+    finally:
+        R.DOCS_PER_SHARD, R.FILE_BYTES = old
+    got = sorted(R.with_starts(R.build_index(spark, str(tmp_path / "r"), str(tmp_path / "i"))).collect(), key=lambda r: r.start)
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
+    assert [r.doc_id or -1 for r in got] == sorted(-1 if i is None else i for i, _ in rows)
+    assert len({r.shard for r in got if r.doc_id is None}) > 2 and len({r.shard for r in got if r.doc_id == 7}) > 2
+    size = {}
+    for r in got:
+        size.setdefault((r.shard, r.file), []).append(r.length)
+    assert all(sum(x) - max(x) <= 4000 for x in size.values()) and max(map(max, size.values())) > 100_000 and len(size) > 15
+    back = sorted(((-1 if r.doc_id is None else r.doc_id), r.ids) for r in R.read(spark, str(tmp_path / "r")).collect())
+    assert back == sorted((-1 if i is None else i, lib(t)) for i, t in rows)
