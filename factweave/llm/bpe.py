@@ -29,7 +29,7 @@ from .parts import Parts, runs
 #: More than any rank with a position.
 NONE = 1 << 62
 #: Pieces that a worker process remembers; about 200 bytes each.
-MEMO = 100_000
+MEMO = 300_000
 
 
 class Memo(dict):
@@ -62,7 +62,7 @@ class Bpe:
         self.find = regex.compile(pattern).findall
         self.token = {rank: raw for raw, rank in ranks.items()}
         self.pieces = Memo(lambda piece: np.array(self.merge(piece.encode()), "<u4").tobytes())
-        self.parts = Parts(lambda strings: list(map(self.whole, strings)), self.whole, np.dtype("<u4"))
+        self.parts = Parts(self._learn, self.whole, np.dtype("<u4"))
         top = max(ranks.values(), default=-1) + 1
         self.decimal = pa.array([f"{k}," for k in range(top)], pa.large_string())
         self.bytes = pa.array([self.token.get(k) for k in range(top)], pa.large_binary())
@@ -126,6 +126,10 @@ class Bpe:
         """The ids of a text, piece by piece, as unsigned 32-bit integers."""
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.find(text))), "<u4")
 
+    def _learn(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        raw = [b"".join(map(self.pieces.__getitem__, self.find(x))) for x in strings]
+        return np.frombuffer(b"".join(raw), "<u4"), np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after the other; bounds of each text's)."""
         return self.parts.batch(texts)

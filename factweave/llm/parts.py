@@ -2,8 +2,8 @@
 
 Texts without two neighbouring white-space characters are cut before each space: every piece of the GPT-2 pattern that holds
 a space starts with it, so a part is tokenized alike wherever it stands. Arrow cuts the batch and numbers its different
-parts; the few that aren't known are tokenized; the ids of all are then gathered by numpy. What is remembered is bounded,
-starts anew when it is full, and never changes a result.
+parts; those that aren't known are tokenized; the ids of all are then gathered by numpy. What is remembered is bounded and
+never changes a result.
 """
 
 from __future__ import annotations
@@ -18,32 +18,43 @@ from .kernels import _ranges
 
 #: Two neighbouring white-space characters, by the widest definition: a tokenizer's pattern may look across a space here.
 TWO_SPACES = r"[\x09-\x0D\x1C-\x20\x85\pZ]{2}"
-#: Parts remembered by a worker process; some 200 bytes each.
-MEMO = 250_000
+#: Parts remembered by a worker process, about; some 200 bytes each.
+MEMO = 400_000
 
 
 class Parts:
-    """learn: token ids of some new strings. whole: ids of a text that can't be cut. keep_whole: texts with one of these can't."""
+    """learn: token ids of some new strings, one after the other, and the number of each. whole: ids of a text that can't be cut.
+    keep_whole: texts with one of these can't. most: parts that are remembered; when there are more, those go that were met
+    once, and if that doesn't halve them, all."""
 
-    def __init__(self, learn: Callable[[list[str]], list[np.ndarray]], whole: Callable[[str], np.ndarray], kind: np.dtype, keep_whole: tuple[str, ...] = (), most: int = MEMO):
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], np.ndarray], kind: np.dtype, keep_whole: tuple[str, ...] = (), most: int = MEMO):
         self.learn, self.whole, self.kind, self.keep_whole, self.most = learn, whole, kind, keep_whole, most
-        self._clear()
+        #: part: its place in the arrays; apart for those at the start of a text, and those after a space
+        self.slots: tuple[dict[str, int], dict[str, int]] = {}, {}
+        self.flat, self.start, self.size, self.hits = np.zeros(0, kind), *(np.zeros(0, np.int64) for _ in range(3))
 
-    def _clear(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 12, self.kind), 0
-        self.start, self.size = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+    def _forget(self) -> None:
+        keep = self.hits > 1
+        if 2 * int(keep.sum()) > self.most:
+            keep[:] = False
+        place = (np.cumsum(keep) - 1).tolist()
+        kept = keep.tolist()
+        for slots in self.slots:
+            left = {x: place[k] for x, k in slots.items() if kept[k]}
+            slots.clear()
+            slots.update(left)
+        self.start, self.size, self.hits = self.start[keep], self.size[keep], self.hits[keep] // 2
+        self.flat = self.flat[_ranges(self.start, self.size)]
+        self.start = np.cumsum(self.size) - self.size
 
-    def _add(self, strings: list[str]) -> None:
-        for string, ids in zip(strings, self.learn(strings), strict=True):
-            k = self.slot[string] = len(self.slot)
-            if k >= len(self.start):
-                self.start, self.size = np.resize(self.start, 2 * k), np.resize(self.size, 2 * k)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.start[k], self.size[k] = self.used, len(ids)
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
+    def _add(self, head: list[str], tail: list[str]) -> None:
+        ids, sizes = self.learn(head + [" " + x for x in tail])
+        at = len(self.start)
+        self.slots[0].update(zip(head, range(at, at + len(head)), strict=True))
+        self.slots[1].update(zip(tail, range(at + len(head), at + len(sizes)), strict=True))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.size, self.flat = np.concatenate([self.size, sizes]), np.concatenate([self.flat, ids.astype(self.kind)])
+        self.hits = np.concatenate([self.hits, np.zeros(len(sizes), np.int64)])
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after the other; bounds of each text's ids, one more than there are texts). Null: empty."""
@@ -56,16 +67,17 @@ class Parts:
         flat = split.flatten()
         is_first = np.zeros(len(flat), bool)
         is_first[bounds[:-1]] = True
-        heads, tails = (flat.filter(pa.array(x)).dictionary_encode() for x in (is_first, ~is_first))
-        names = heads.dictionary.to_pylist() + [" " + x for x in tails.dictionary.to_pylist()]
-        if len(self.slot) + len(names) > self.most:
-            self._clear()
-        if new := [x for x in names if x not in self.slot]:
-            self._add(new)
-        slots = np.fromiter(map(self.slot.__getitem__, names), np.int64, len(names))
+        both = [flat.filter(pa.array(x)).dictionary_encode() for x in (is_first, ~is_first)]
+        names = [x.dictionary.to_pylist() for x in both]
+        if len(self.start) + sum(map(len, names)) > self.most:
+            self._forget()
+        new = [[x for x in own if x not in slots] for own, slots in zip(names, self.slots, strict=True)]
+        if any(new):
+            self._add(*new)
         of = np.empty(len(flat), np.int64)
-        of[is_first] = slots[heads.indices.to_numpy()]
-        of[~is_first] = slots[tails.indices.to_numpy() + len(heads.dictionary)]
+        for where, held, own, slots in zip((is_first, ~is_first), both, names, self.slots, strict=True):
+            of[where] = np.fromiter(map(slots.__getitem__, own), np.int64, len(own))[held.indices.to_numpy()]
+        self.hits += np.bincount(of, minlength=len(self.hits))
         sizes = self.size[of]
         ids = self.flat[_ranges(self.start[of], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[bounds]
@@ -78,7 +90,7 @@ class Parts:
         return ids, ends
 
 
-def runs(texts: pa.Array, budget: int = 2_000_000) -> list[tuple[int, int]]:
+def runs(texts: pa.Array, budget: int = 4_000_000) -> list[tuple[int, int]]:
     """(first, end) of runs of texts that have at most `budget` bytes together, or are one text."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
     total, out, first = np.concatenate([[0], np.cumsum(size)]), [], 0

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, only
+from .kernels import _ranges
 from .parts import Parts, runs
 
 #: Records in a file at most, and bytes besides those of its longest record.
@@ -103,14 +104,35 @@ class Encoder:
         self.lib.encode_special_tokens = as_text
         self.kind = np.dtype("<u2" if max(self.lib.get_vocab_size() - 1, end_id or 0) < 1 << 16 else "<u4")
         self.end = np.array([] if end_id is None else [end_id], self.kind)
+        line = self.lib.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
         added = tuple(t.content for t in self.lib.get_added_tokens_decoder().values())
         self.parts = Parts(self._learn, self.whole, self.kind, added)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.kind)
 
-    def _learn(self, strings: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, self.kind) for x in self.lib.encode_batch_fast(strings, add_special_tokens=False)]
+    def _learn(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Strings after a space are joined by line feeds, up to 2,000 in a call: a line feed is a token by itself there."""
+        starts, sizes = np.zeros(len(strings), np.int64), np.zeros(len(strings), np.int64)
+        found, used = [np.zeros(0, self.kind)], 0
+        joined = [k for k, x in enumerate(strings) if x[:1] == " " and len(x) > 1 and "\n" not in x and self.line is not None]
+        for at in range(0, len(joined), 2000):
+            some = joined[at : at + 2000]
+            ids = np.array(self.lib.encode_batch_fast(["\n".join([strings[k] for k in some]) + "\n"], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(ids == self.line)
+            if len(ends) != len(some):  # another vocabulary may join line feeds with what is beside them
+                joined = joined[:at]
+                break
+            starts[some], sizes[some] = used + np.concatenate([[0], ends[:-1] + 1]), np.diff(ends, prepend=-1) - 1
+            found.append(ids)
+            used += len(ids)
+        alone = sorted(set(range(len(strings))).difference(joined))
+        for k, x in zip(alone, self.lib.encode_batch_fast([strings[k] for k in alone], add_special_tokens=False), strict=True):
+            found.append(np.array(x.ids, self.kind))
+            starts[k], sizes[k] = used, len(x.ids)
+            used += len(x.ids)
+        return np.concatenate(found)[_ranges(starts, sizes)], sizes
 
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
