@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import shutil
 import tempfile
@@ -112,14 +113,38 @@ def map_batches(df: DataFrame, schema: str, work: Callable[[], Callable[[pa.Reco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = work()
-        for batch in batches:
-            if batch.num_rows and (got := one(batch)) is not None:
+        for whole in batches:
+            for batch in shares(whole):
+                if (got := one(batch)) is None:
+                    continue
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) if not isinstance(got[f.name], pa.Array) else got[f.name].cast(f.type) for f in arrow], schema=arrow)
+                del got
+                trim()
 
     return df.mapInArrow(run, with_types)
 
 
-def pieces(batch: pa.RecordBatch, budget: int = 4_000_000, column: str = "text") -> Iterator[tuple[int, list[bytes]]]:
+def shares(batch: pa.RecordBatch, budget: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about `budget` bytes, so that what is made from one stays small."""
+    rows = max(1, batch.num_rows * budget // max(budget, batch.nbytes))
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
+
+
+def trim() -> None:
+    """Hands freed memory back to the system: a worker process lives on while others on its machine need theirs."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC(0)
+
+
+try:
+    _LIBC = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _LIBC = None
+
+
+def pieces(batch: pa.RecordBatch, budget: int = 2_000_000, column: str = "text") -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8) in runs of at most `budget` bytes or one text, so that arrays stay small. Null: empty."""
     held, first, size = [], 0, 0
     at = batch.schema.get_field_index(column)

@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, only
+from .common import map_batches, only, shares, trim
 from .kernels import U, Words, _ranges, rolling, xxh64_spans
 from .licenses import _WORD
 
@@ -243,10 +243,11 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
         shared = context.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (x for whole in batches for x in shares(whole)):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[row for row, _ in _found(shared.value, batch, column)]] = False
                 yield batch.filter(pa.array(keep))
+            trim()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -19,7 +19,7 @@ from .kernels import _ranges
 #: Two neighbouring white-space characters, by the widest definition: a tokenizer's pattern may look across a space here.
 TWO_SPACES = r"[\x09-\x0D\x1C-\x20\x85\pZ]{2}"
 #: Parts remembered by a worker process, about; some 200 bytes each.
-MEMO = 400_000
+MEMO = 300_000
 
 
 class Parts:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, only
+from .common import map_batches, materialise, only, parted, shares, trim
 
 #: Labelled rows that train, at most; score from which a document counts as good.
 FIT_ROWS, GOOD = 12_000, 0.7
@@ -169,13 +169,13 @@ def fit(x: np.ndarray, y: np.ndarray) -> Forest:
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Forest:
-    """labels: (doc_id, label) of the rows that may train. Only documents that the hash of their id chooses are measured, and
-    at most `most` rows of statistics reach the driver."""
+    """labels: (doc_id, label) of the rows that may train. Only labelled documents that the hash of their id chooses are
+    measured (and those that share a slot with one), and at most `most` rows of statistics reach the driver."""
     wanted = labels.where("label is not null").select(F.col("doc_id").cast("long").alias("of"), F.col("label").cast("double").alias("label"))
     share = int(1_000_000 * min(1.0, 1.1 * most / max(1, wanted.count()))) + 1
-    part = F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long")), F.lit(1_000_000))
-    features = materialise(measured(docs.where(part < share), id_col, text_col), "statistics")
-    known = features.join(wanted, F.col("doc_id") == F.col("of")).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)))
+    chosen = materialise(wanted.where(F.pmod(F.xxhash64("of"), F.lit(1_000_000)) < share), "chosen")
+    features = materialise(measured(parted(docs, chosen.select("of"), id_col)[0], id_col, text_col), "statistics")
+    known = features.join(chosen, F.col("doc_id") == F.col("of")).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)))
     rows = known.orderBy("part", "doc_id", "label").limit(most).select("x", "label").toPandas()
     x = np.stack(rows["x"].to_list()).astype(np.float32) if len(rows) else np.zeros((0, len(STATISTICS)), np.float32)
     return fit(x, rows["label"].to_numpy(float))
@@ -199,7 +199,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = GOOD, id_col: s
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_score(forest, batch, at) >= least))
+        for whole in batches:
+            for batch in shares(whole):
+                yield batch.filter(pa.array(_score(forest, batch, at) >= least))
+            trim()
 
     return docs.mapInArrow(run, docs.schema)
