@@ -29,7 +29,7 @@ from .parts import Parts, runs
 #: More than any rank with a position.
 NONE = 1 << 62
 #: Pieces that a worker process remembers; about 200 bytes each.
-MEMO = 200_000
+MEMO = 60_000
 
 
 class Memo(dict):

@@ -14,10 +14,11 @@ No step loses a leak, and clean texts are never reported by chance. (A CGK embed
 its recall fell with the item's length, and the bounds are cheaper.)
 
 Items are held in blocks of at most BLOCK_WORDS words; each block is one broadcast of bounded size and one pass. Items of
-fewer than LEAST_WORDS words say too little to be searched.
+fewer than five words must stand word for word; `least` can leave out the shortest.
 
 Defined cases: null texts and items are empty, and report nothing; a null item_id is reported as such; repeated rows and
-repeated items are all reported; no rows, or no items, give no rows.
+repeated items are all reported; of equally near stretches the one met first counts; texts of any length are searched whole;
+columns of any name are carried on; no rows, or no items, give no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from .common import map_batches, only, shares, trim
 from .kernels import U, Words, _ranges, rolling, xxh64_spans
 from .licenses import _WORD
 
-SIMILARITY, LEAST_WORDS, BLOCK_WORDS = 0.8, 5, 1_000_000
+SIMILARITY, LEAST_WORDS, BLOCK_WORDS = 0.8, 1, 1_000_000
 SLOTS = 1 << 20
 
 
@@ -172,18 +173,18 @@ class Items:
         return best
 
 
-def blocks(benchmark: DataFrame, similarity: float = SIMILARITY, id_col: str = "item_id", text_col: str = "text", most: int = BLOCK_WORDS) -> Iterator[Items]:
+def blocks(benchmark: DataFrame, similarity: float = SIMILARITY, id_col: str = "item_id", text_col: str = "text", most: int = BLOCK_WORDS, least: int = LEAST_WORDS) -> Iterator[Items]:
     """The benchmark in blocks of at most `most` words (one item at least), read one partition at a time."""
     held, size = [], 0
     for row in only(benchmark, item_id=id_col, text=text_col).toLocalIterator():
         n = len(plain(row["text"]).split())
         if held and size + n > most:
-            yield Items.of(held, similarity)
+            yield Items.of(held, similarity, least)
             held, size = [], 0
         held.append((row["item_id"], row["text"]))
         size += n
     if held:
-        yield Items.of(held, similarity)
+        yield Items.of(held, similarity, least)
 
 
 def _texts(batch: pa.RecordBatch, column: int, budget: int = 4_000_000) -> Iterator[tuple[int, list[bytes]]]:
@@ -209,7 +210,7 @@ def _found(items: Items, batch: pa.RecordBatch, column: int) -> Iterator[tuple[i
                 yield first + k, got
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, least: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, item_id, start_word, n_words, distance, item_words: one row for each document and item that leaked into it."""
     slim = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
     schema = "doc_id long, item_id long, start_word long, n_words long, distance long, item_words long"
@@ -228,18 +229,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
         return work
 
     context = docs.sparkSession.sparkContext
-    parts = [map_batches(slim, schema, task(context.broadcast(block))) for block in blocks(benchmark, similarity)]
+    parts = [map_batches(slim, schema, task(context.broadcast(block))) for block in blocks(benchmark, similarity, least=least)]
     found = slim.sparkSession.createDataFrame([], schema) if not parts else parts[0]
     for part in parts[1:]:
         found = found.union(part)
     return found
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, text_col: str = "text") -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, least: int = LEAST_WORDS, text_col: str = "text") -> DataFrame:
     """The rows of docs into which no item leaked, judged where they lie."""
     column = docs.columns.index(text_col)
     context = docs.sparkSession.sparkContext
-    for block in blocks(benchmark, similarity):
+    for block in blocks(benchmark, similarity, least=least):
         shared = context.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:

@@ -123,3 +123,11 @@ def test_every_leak_at_exactly_the_threshold_is_found():
                 got = block.search(hashes(around[0] + text + around[1]))
                 assert set(got) == {k} and got[k][0] <= d
                 assert edit_infix(words, around[0] + text + around[1]) == got[k][0]
+
+
+def test_short_items_are_searched_word_for_word(spark):
+    docs = spark.createDataFrame([(1, "x Forty-two y"), (2, "forty x two"), (3, "a b c d e"), (4, "a b x d e"), (5, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(10, "forty two"), (11, "B c, d"), (12, ""), (13, "q")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in D.leaks(docs, items).collect()) == [(1, 10), (3, 11)]
+    assert sorted(r.doc_id for r in D.keep_clean(docs, items).collect()) == [2, 4, 5]
+    assert D.leaks(docs, items, least=3).select("item_id").collect() == [(11,)]
