@@ -47,7 +47,7 @@ from .components import connected_components
 from .kernels import U, Words, majority_bits, mix, xxh64_spans
 
 #: Rounds of comparisons with one of each bucket, before pairs of different components are looked for.
-ROUNDS = 2
+ROUNDS = 3
 #: Least Jaccard similarity, as a fraction.
 SIMILAR = (4, 5)
 #: Part of the bits that differ, up to which the index meets pairs with probability MET. At a similarity of 0.8 it is 0.15.
@@ -97,8 +97,8 @@ def exact_index(n: int) -> Index:
 
 
 def similar_index(n: int) -> Index:
-    """For n fingerprints: segments of about log2(n) bits, as many as MET asks for."""
-    width = min(32, max(12, round(log2(max(n, 2)))))
+    """For n fingerprints: segments of log2(n) - 2 bits, 16 at least, as many as MET asks for."""
+    width = min(32, max(16, ceil(log2(max(n, 2))) - 2))
     clear = (1 - ANGLE) ** width
     odds = ANGLE / (1 - ANGLE)
     met = clear * (1 + width * odds + comb(width, 2) * odds**2 / 2)  # of two differing bits, half the time each has one set
@@ -151,8 +151,9 @@ def _bits(a: str, b: str, words: list[str]) -> Column:
     return reduce(add, (F.bit_count(F.col(f"{a}{x}").bitwiseXOR(F.col(f"{b}{x}"))) for x in words))
 
 
-def _filed(nodes: DataFrame, index: Index, *columns: str) -> DataFrame:
+def _filed(nodes: DataFrame, index: Index, *columns: str, with_own: bool = False) -> DataFrame:
     """(key, columns): a row for each value of the ball around each segment. Keys of sets filed by their shingles are negative.
+    own: the segment's value itself; two fingerprints that meet in a segment do so under own | own, among other keys.
     Joins of these ask for a merge: Spark's estimate of their size doesn't know how many rows the ball makes."""
     segment = [F.shiftrightunsigned(F.col(f"f{s.lane}"), s.shift).bitwiseAND((1 << s.width) - 1).bitwiseOR(F.lit(n << 40)) for n, s in enumerate(index.segments)]
     segment = F.array(*segment)
@@ -165,7 +166,7 @@ def _filed(nodes: DataFrame, index: Index, *columns: str) -> DataFrame:
             within = [k for k, w in having if top < w]
             here = (own >= 0) if len(within) == len(index.segments) else n.isin(within)
             balls.append(F.when(here & (own.bitwiseAND(mask) == 0), own.bitwiseOR(F.lit(mask))))
-    return rows.select(F.explode(F.array(*balls)).alias("key"), *columns).where("key is not null")
+    return rows.select(F.explode(F.array(*balls)).alias("key"), *(["own"] if with_own else []), *columns).where("key is not null")
 
 
 def _as(rows: DataFrame, prefix: str, *kept: str) -> DataFrame:
@@ -216,11 +217,12 @@ def links(nodes: DataFrame, index: Index, confirm: Callable[[DataFrame], DataFra
         u, v = _as(placed.where("part = head"), "u", "key"), _as(placed.where("part <> head"), "v", "key").withColumnRenamed("key", "v_key").hint("merge")
         other = u.join(v, on, "left_semi").select(F.col("u_node").alias("node"))
         now = materialise(now.join(one.union(other).distinct(), "node", "left_semi"), "neighbours")
-        rows = _filed(now, index, "node", "part", *dict.fromkeys((*sketch, *payload)))
         release(placed)
+    rows = _filed(now, index, "node", "part", *dict.fromkeys((*sketch, *payload)), with_own=True)
     placed = rows.join(heads.hint("merge"), "key")
     u, v = _as(placed.where("part <> head").drop("head"), "u", "key"), _as(placed, "v", "key")
     once = (F.col("v_part") == F.col("v_head")) | (F.col("u_node") > F.col("v_node"))  # else both are found by the other, too
+    once &= key == F.col("u_own").bitwiseOR(F.col("v_own"))  # one row for a segment
     met = u.join(v.hint("merge"), "key").where(apart & once & (F.lit(True) if likely is None else likely))
     met = met.select(F.greatest("u_node", "v_node").alias("u"), F.least("u_node", "v_node").alias("v")).distinct()
     edges.append(confirm(met) if confirm else materialise(met, "links"))
