@@ -9,16 +9,20 @@ set, so two values meet if each has at most `radius` set bits that the other lac
 bits. Fingerprints that meet are compared over their complete distance. Segments are as wide as the logarithm of the number
 of fingerprints, so that the unlike ones that meet stay as few at any size.
 
-1. What is filed carries a sketch (the first lanes). A left-semi join keeps the fingerprints that have a neighbour at all.
-2. Dense groups would give all their pairs. So in ROUNDS rounds each fingerprint is compared with one of each of its buckets,
-   the nearest is confirmed, and the components of the confirmed links are found: no more rows than are filed.
+1. What is filed carries a sketch: lanes that no segment is taken from, for segments that met agree in their own bits, like
+   or not. A left-semi join keeps the fingerprints that have a neighbour at all, or another set with the same sketch; where
+   there are further lanes to compare, a second one with all of them keeps fewer.
+2. Dense groups would give all their pairs. So in ROUNDS rounds each fingerprint is compared with one of each of its buckets
+   (of those that a pair shares by one segment, under one), the nearest is confirmed, and the components of the confirmed
+   links are found: no more rows than are filed.
 3. Only pairs of different components are then looked for, and in a bucket only by those outside the component of most there.
 
 Two uses. `near_duplicates`: fingerprints of all shingles, repeats included, link at 4 or fewer differing bits; no pair can be
 missed. `keep_one` (the pipeline's stage): fingerprints of the distinct shingles in many lanes propose pairs, and the exact
 Jaccard similarity of the shingle sets decides, SIMILAR or more. The index meets a pair at 0.8 with probability 0.998
-(MET at an angle a little wider); sets of at most SHORT shingles, whose fingerprints are coarse, are also filed under the
-first of their shingles in one order, by which no such pair is lost. A parity bitmap (sets differ in at least the shingles
+(MET at an angle a little wider). Sets of at most SHORT shingles, whose fingerprints are coarse, are filed under the first of
+their shingles in one order instead, and so are those of up to LONG, which a short set can be similar to: no such pair is lost,
+and every pair is in one of the two indexes whole. A parity bitmap (sets differ in at least the shingles
 that their bitmaps differ in) refuses most loose pairs beforehand, without loss.
 
 Defined cases: null and blank texts are equal, have fingerprint zero and are linked like any other; texts of any length are
@@ -52,8 +56,9 @@ ROUNDS = 3
 SIMILAR = (4, 5)
 #: Part of the bits that differ, up to which the index meets pairs with probability MET. At a similarity of 0.8 it is 0.15.
 ANGLE, MET = 0.17, 0.99
-#: Shingles of a set that is filed by its shingles too.
+#: Shingles of a set that is filed by its shingles alone, and of the largest that can be similar to it.
 SHORT = 40
+LONG = SHORT * SIMILAR[1] // SIMILAR[0]
 #: 64-bit words of a set's parity bitmap.
 PARITY = 8
 
@@ -70,7 +75,7 @@ class Segment:
 
 @dataclass(frozen=True)
 class Index:
-    """lanes: of a fingerprint; most: bits of all lanes that may differ; what is filed carries the first `sketch` lanes, which
+    """lanes: of a fingerprint; most: bits of all lanes that may differ; what is filed carries the last `sketch` lanes, which
     may differ in `most_sketch` bits."""
 
     lanes: int
@@ -103,7 +108,7 @@ def similar_index(n: int) -> Index:
     odds = ANGLE / (1 - ANGLE)
     met = clear * (1 + width * odds + comb(width, 2) * odds**2 / 2)  # of two differing bits, half the time each has one set
     tables, each = ceil(log(1 - MET) / log(1 - met)), 64 // width
-    lanes = max(8, ceil(tables / each))
+    lanes = max(8, ceil(tables / each) + 2)
     segments = tuple(Segment(k // each, k % each * width, width, 1) for k in range(tables))
     near = [int(64 * x * ANGLE + 4 * sqrt(64 * x * ANGLE * (1 - ANGLE))) for x in (lanes, 2)]
     return Index(lanes, segments, near[0], 2, near[1])
@@ -157,7 +162,9 @@ def _filed(nodes: DataFrame, index: Index, *columns: str, with_own: bool = False
     Joins of these ask for a merge: Spark's estimate of their size doesn't know how many rows the ball makes."""
     segment = [F.shiftrightunsigned(F.col(f"f{s.lane}"), s.shift).bitwiseAND((1 << s.width) - 1).bitwiseOR(F.lit(n << 40)) for n, s in enumerate(index.segments)]
     segment = F.array(*segment)
-    rows = nodes.select(F.explode(F.concat(segment, "short") if "short" in nodes.columns else segment).alias("own"), *columns)
+    if "short" in nodes.columns:
+        segment = F.when(F.col("long"), F.concat(segment, "short")).otherwise(F.col("short"))
+    rows = nodes.select(F.explode(segment).alias("own"), *columns)
     own, balls = F.col("own"), [F.col("own")]
     n = F.shiftright(own, 40)
     for radius in range(1, 1 + max(s.radius for s in index.segments)):
@@ -176,31 +183,40 @@ def _as(rows: DataFrame, prefix: str, *kept: str) -> DataFrame:
 def links(nodes: DataFrame, index: Index, confirm: Callable[[DataFrame], DataFrame] | None = None, payload: tuple[str, ...] = (), likely: Column | None = None) -> DataFrame | None:
     """Edges (u, v) whose components are those of all linked pairs, or None if there are none.
 
-    nodes: a written table of node, f0, ... of different fingerprints. confirm: the linked ones of a table of pairs (u, v); by
+    nodes: a written table of node, f0, ... of different fingerprints; with short (keys of its own) and long (whether segments
+    count, too), if both are there. confirm: the linked ones of a table of pairs (u, v); by
     default all that are within the index's distance. payload, likely: columns of nodes, and a condition on u_ and v_ of them
     that refuses pairs before they are written down.
     """
-    sketch = [f"f{k}" for k in range(index.sketch)]
+    sketch = [f"f{k}" for k in range(index.lanes - index.sketch, index.lanes)]
     key = F.col("key")
+    same = key == F.col("u_own").bitwiseOR(F.col("v_own"))  # one key for a segment that two have in common
 
     def near(bits: Column) -> Column:
         return (key < 0) | (bits <= index.most_sketch)
 
     between = _bits("u_", "v_", sketch)
-    prints = nodes.groupBy(*sketch, *(["short"] if "short" in nodes.columns else []), *sorted({f"f{s.lane}" for s in index.segments} - set(sketch))).agg(F.count("*").alias("n"))
+    prints = nodes.groupBy(*sketch, *(c for c in ("short", "long") if c in nodes.columns), *sorted({f"f{s.lane}" for s in index.segments} - set(sketch))).agg(F.count("*").alias("n"))
     filed = _filed(prints, index, *sketch)
     differ = reduce(lambda a, b: a | b, (F.col(f"u_{x}") != F.col(f"v_{x}") for x in sketch))
     some = _as(filed, "u", "key").join(_as(filed, "v", "key").withColumnRenamed("key", "v_key").hint("merge"), (key == F.col("v_key")) & differ & near(between), "left_semi")
-    some = some.select(*(F.col(f"u_{x}").alias(x) for x in sketch)).union(prints.where("n > 1").select(*sketch))
+    alike = prints.groupBy(*sketch).agg(F.sum("n").alias("n")).where("n > 1").select(*sketch)
+    some = some.select(*(F.col(f"u_{x}").alias(x) for x in sketch)).union(alike)
     now = materialise(nodes.join(some.distinct(), sketch, "left_semi").withColumn("part", F.col("node")), "neighbours")
+    if payload and likely is not None:  # a member of a dense group finds another at once, so this looks at few of its pairs
+        rows = _filed(now, index, "node", *payload, with_own=True)
+        on = (key == F.col("v_key")) & same & (F.col("u_node") != F.col("v_node")) & near(between) & likely
+        some = _as(rows, "u", "key").join(_as(rows, "v", "key").withColumnRenamed("key", "v_key").hint("merge"), on, "left_semi")
+        now = materialise(now.join(some.select(F.col("u_node").alias("node")).distinct(), "node", "left_semi"), "neighbours")
     if now.isEmpty():
         return None
     edges: list[DataFrame] = []
     for turn in range(ROUNDS):
-        rows = _filed(now, index, "node", "part", *sketch)
-        heads = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "part", *sketch)).alias("m"), F.min("part").alias("lo"), F.max("part").alias("hi"))
-        heads = heads.where("lo <> hi").select("key", *(F.col(f"m.{c}").alias(f"v_{c}") for c in ("node", "part", *sketch)))
-        met = _as(rows, "u", "key").join(heads.hint("merge"), "key").where((F.col("u_part") != F.col("v_part")) & near(between))
+        rows = _filed(now, index, "node", "part", *sketch, with_own=True)
+        held = ("own", "node", "part", *sketch)
+        heads = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), *held)).alias("m"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+        heads = heads.where("lo <> hi").select("key", *(F.col(f"m.{c}").alias(f"v_{c}") for c in held))
+        met = _as(rows, "u", "key").join(heads.hint("merge"), "key").where((F.col("u_part") != F.col("v_part")) & same & near(between))
         nearest = met.groupBy("u_node").agg(F.min(F.struct(between.alias("bits"), "v_node")).alias("m"))
         nearest = nearest.select(F.col("u_node").alias("u"), F.col("m.v_node").alias("v"))
         edges.append(confirm(nearest) if confirm else materialise(nearest, "stars"))
@@ -222,8 +238,7 @@ def links(nodes: DataFrame, index: Index, confirm: Callable[[DataFrame], DataFra
     placed = rows.join(heads.hint("merge"), "key")
     u, v = _as(placed.where("part <> head").drop("head"), "u", "key"), _as(placed, "v", "key")
     once = (F.col("v_part") == F.col("v_head")) | (F.col("u_node") > F.col("v_node"))  # else both are found by the other, too
-    once &= key == F.col("u_own").bitwiseOR(F.col("v_own"))  # one row for a segment
-    met = u.join(v.hint("merge"), "key").where(apart & once & (F.lit(True) if likely is None else likely))
+    met = u.join(v.hint("merge"), "key").where(apart & once & same & (F.lit(True) if likely is None else likely))
     met = met.select(F.greatest("u_node", "v_node").alias("u"), F.least("u_node", "v_node").alias("v")).distinct()
     edges.append(confirm(met) if confirm else materialise(met, "links"))
     return reduce(DataFrame.union, edges)
@@ -278,8 +293,9 @@ def _prints(shingle: int, lanes: int) -> Callable[[], Callable[[pa.RecordBatch],
                 words.append(np.concatenate([np.stack(fp, axis=1), np.packbits(odd.reshape(len(sets), -1), axis=1).view(U)], axis=1))
                 out["node"] += [_node(s) for s in sets]
                 out["size"] += size.tolist()
-                # sets of a and b shingles as similar as 4/5 share one of the first a // 5 + 1 and b // 5 + 1 in any one order
-                out["short"] += [(s[: least * len(s) // most + 1] | U(1 << 63)).view(np.int64) if len(s) <= SHORT else s[:0].view(np.int64) for s in sets]
+                # sets of a and b shingles as similar as 4/5 share one of the first a // 5 + 1 and b // 5 + 1 in any one order;
+                # the larger is of LONG at most, so both are filed here, or of more, so both have more than SHORT
+                out["short"] += [(s[: least * len(s) // most + 1] | U(1 << 63)).view(np.int64) if len(s) <= LONG else s[:0].view(np.int64) for s in sets]
             bits = np.concatenate(words).view(np.int64)
             names = [f"f{k}" for k in range(lanes)] + [f"o{k}" for k in range(PARITY)]
             return {"doc_id": batch.column("doc_id"), "sha": batch.column("sha"), **out, **{n: pa.array(bits[:, k]) for k, n in enumerate(names)}}
@@ -311,11 +327,12 @@ def similar_links(docs: DataFrame, prints: DataFrame, shingle: int = 5) -> DataF
     sketches = [*(f"f{k}" for k in range(lanes)), *(f"o{k}" for k in range(PARITY))]
     columns = ["size", "short", *sketches]
     nodes = materialise(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in columns)), "sets")
+    nodes = nodes.withColumn("long", F.col("size") > SHORT)
     index = similar_index(nodes.count())
     a, b = SIMILAR
     u_size, v_size = F.col("u_size"), F.col("v_size")
     odd = _bits("u_", "v_", sketches[lanes:]) * (a + b) <= (u_size + v_size) * (b - a)
-    likely = odd & ((F.greatest(u_size, v_size) <= SHORT) | (_bits("u_", "v_", sketches[:lanes]) <= index.most))
+    likely = odd & ((F.greatest(u_size, v_size) <= LONG) | (_bits("u_", "v_", sketches[: index.lanes]) <= index.most))
     slim = nodes.select("node", "size", *sketches)
 
     def confirm(pairs: DataFrame) -> DataFrame:
