@@ -233,7 +233,8 @@ SCHEMA = "page_id long, page_url string, place int, company string, person_name
 
 
 def candidates(pages: DataFrame, rendered: bool = False) -> DataFrame:
-    """(page_id, url, html) to the rows of SCHEMA. Pages without a contact's mark never reach the parser."""
+    """(page_id, url, html) to the rows of SCHEMA. Every page is parsed: signs of an address may be spelled out, be
+    character references or lie in several elements, so the raw HTML can't tell that there is none."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -248,8 +249,7 @@ def candidates(pages: DataFrame, rendered: bool = False) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    marks = F.lower("html").rlike(r"mailto:|tel:|\.vcf|@|\(at\)|\[at\]|\d{3}")
-    return pages.where(F.col("html").isNotNull() & marks).select("page_id", "url", "html").mapInArrow(run, kind)
+    return pages.where(F.col("html").isNotNull()).select("page_id", "url", "html").mapInArrow(run, kind)
 
 
 def accepted(rows: DataFrame, site_counts: DataFrame | None = None, allow_free: bool = False) -> DataFrame:

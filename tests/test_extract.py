@@ -11,6 +11,7 @@ PAGES = {
     6: ("https://firm.example/about", "<table><tr><th>Name</th><th>Title</th><th>Email</th><th>Phone</th></tr><tr><td>Eve Elm<td>Head of Data<td>eve (at) firm.example<td>555 555 0104</table>"),
     7: ("https://firm.example/team", CARD.format(name="Ada Birch", title="Partner", more='<a href="mailto:ada@other.example">m</a>')),
     8: ("https://firm.example/team", CARD.format(name="Ada Cole", title="Partner", more='<a href="mailto:ada@other.example">m</a><a href="tel:5555550105">t</a>')),
+    10: ("https://firm.example/team", CARD.format(name="Ada Fenn", title="Partner", more="<p>ada at firm dot example</p>")),
     9: ("https://firm.example/team", CARD.format(name="Ada Dune", title="Partner", more='<a href="mailto:a@firm.example,b@firm.example">m</a>')),
 }
 
@@ -33,6 +34,7 @@ def test_contacts_of_golden_pages(spark):
         3: {("Ada Elm", "Lead", "phone", "14015550123")},
         4: {("Ada Arden", "Partner", "link", "https://firm.example/v/ada.vcf")},
         6: {("Eve Elm", "Head of Data", "email", "eve@firm.example"), ("Eve Elm", "Head of Data", "phone", "5555550104")},
+        10: {("Ada Fenn", "Partner", "email", "ada@firm.example")},
         8: {("Ada Cole", "Partner", "email", "ada@other.example"), ("Ada Cole", "Partner", "phone", "5555550105")},
     }
 
