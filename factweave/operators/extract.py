@@ -30,17 +30,28 @@ CARDS = (
 )
 NAMES = ("h1, h2, h3, h4", ".name, .person-name, .full-name, .profile-name", ".heading, .card-title, .profile-header h2, .profile-header h3", "strong:first-child, b:first-child")
 TITLES = (".title, .job-title, .position, .role, .position-title", ".subtitle, .description:first-of-type, .profile-title, .card-subtitle", "em, i, .italic", "p:first-of-type, .bio p:first-child", "h3 + p, h4 + p")
-#: Headings that are no names, and roles that say nothing. Fixed values.
-SECTIONS = frozenset(("our team", "team", "people", "staff", "contact", "contacts", "news", "press", "mailing address", "click here", "branch hours", "executive team", "contact us", "resources"))
-NO_ROLES = frozenset(("areas of focus:", "areas of focus", "practice areas", "contact", "email", "phone", "unknown"))
+#: Headings and labels that are no names. Fixed values.
+SECTIONS = frozenset((
+    "our team", "team", "people", "staff", "contact", "contacts", "news", "press", "mailing address", "branch hours", "business services team", "executive team", "support", "department", "services", "contact us", "resources",
+))
+#: Titles that say nothing, and parts of titles that are passed over. Fixed values.
+NO_ROLES = frozenset(("email", "areas of focus:", "coming soon", "open seat"))
+MINOR_ROLES = ("paralegal", "legal administrator", "legal administrative", "assistant", "accountant", "marketing", "retired", "intern", "receptionist")
+#: Where the company stands, best first, and headings that are no companies. Fixed values.
+COMPANIES = ("title", "h1:first-of-type", ".company-name, .organization", "[data-company], [data-organization]", ".site-title, .brand-title")
+NO_COMPANY = re.compile(r"^(Contact|Contacts|News(?:\s*&\s*Insights)?|Press|Team|People|About)\b", re.I)
+#: Boxes of links, in a card and (by parts of their classes) beside it. Fixed values.
+LINK_BOXES = ".eti-links, .links, .contact, .contacts, .actions, .icons, [class*='links']"
+LINK_BOX_WORDS = ("eti-links", "links", "contact", "contacts", "actions", "icons")
 #: Words of links that lead to people, in three languages. Fixed values.
 LINK_WORDS = (
     "team", "leadership", "management", "people", "staff", "executives", "board", "about", "contacts", "contact", "команда", "руководство", "менеджмент", "дирек", "о компании", "контакты", "совет директоров",
     "leitung", "über uns", "ueber uns", "kontakt", "impressum", "mitarbeiter", "vorstand", "geschäftsführung", "geschaeftsfuehrung",
 )
-REVEAL = re.compile(r"\b(show|reveal|display|показать|открыть)\s*(e-?mail|почт\w+|адрес)\b", re.I)
+#: Fixed value.
+REVEAL = re.compile(r"\b(show|reveal|display|показать|открыть)\s*(e-?mail|email|почт\w+|адрес)\b", re.I)
 EMAIL, PHONE = re.compile(V.EMAIL.removeprefix("(?i)"), re.I), re.compile(V.PHONE)
-HONORIFIC = re.compile(r"^(dr|mr|ms|mrs)\.\s+", re.I)
+HONORIFIC = re.compile(r"^(Dr|Mr|Ms|Mrs)\.\s+")
 
 
 def is_name(text: str) -> bool:
@@ -49,25 +60,47 @@ def is_name(text: str) -> bool:
 
 
 def name_of(card: Node) -> tuple[Node, str] | None:
-    """The first match of each group of selectors is tried."""
+    """The first match of each group of selectors is tried; the name has to be one without its honorific, too."""
     for selector in NAMES:
         node = first(card, selector)
-        if node is not None and is_name(name := HONORIFIC.sub("", node.text())):
-            return node, name
+        if node is not None and is_name(node.text()):
+            name = HONORIFIC.sub("", node.text())
+            return (node, name) if is_name(name) else None
     return None
 
 
+def is_role(text: str) -> bool:
+    """Titles that say nothing count, for they end the search; role_of makes them Unknown."""
+    low = text.lower()
+    return len(text) >= 3 and (low in NO_ROLES or not any(w in low for w in MINOR_ROLES))
+
+
+def _second_line(paragraph: Node) -> str:
+    """What stands between the first and the second line break."""
+    lines: list[list[str]] = [[]]
+    stack: list[Node | str] = list(reversed(paragraph.children))
+    while stack:
+        item = stack.pop()
+        if isinstance(item, str):
+            lines[-1].append(item)
+        elif item.tag == "br":
+            lines.append([])
+        else:
+            stack += reversed(item.children)
+    return " ".join(" ".join(lines[1]).split()) if len(lines) > 1 else ""
+
+
 def role_of(card: Node, name: Node) -> str:
-    """What follows a line break beside the name, the paragraph after it, else the first title; else Unknown."""
-    holder = name if name.tag == "p" else next((a for a in name.ancestors() if a.tag == "p"), None)
-    tries: list[str] = []
-    if holder is not None:
-        br = next((k for k, c in enumerate(holder.children) if isinstance(c, Node) and c.tag == "br"), None)
-        if br is not None:
-            tries.append(" ".join(c if isinstance(c, str) else c.text() for c in holder.children[br + 1 :]).strip())
-        tries += [p.text() for p in card.walk() if p.tag == "p" and p.order > holder.order][:1]
-    tries += [n.text() for s in TITLES if (n := first(card, s)) is not None and n is not name]
-    return next((t for t in tries if 3 <= len(t) <= 200 and t.lower() not in NO_ROLES and not EMAIL.search(t) and not re.search(r"\d{3}", t)), "Unknown")
+    """The second line of the name's paragraph, the paragraph after it, else the first title; else Unknown."""
+    tries = [_second_line(name.parent)] if name.parent is not None and name.parent.tag == "p" else []
+    paragraphs = [n for n in (first(card, ".fusion-text") or card).walk() if n.tag == "p"]
+    holders = {id(n) for n in (name, *name.ancestors())}
+    own = next((k for k, p in enumerate(paragraphs) if id(p) in holders), None)
+    if own is not None:
+        tries += [p.text() for p in paragraphs[own + 1 : own + 2]]
+    tries += [n.text()[:200] for s in TITLES if (n := first(card, s)) is not None]
+    role = next(filter(is_role, tries), "Unknown")
+    return "Unknown" if role.lower() in NO_ROLES else role
 
 
 def root_of(node: Node) -> Node:
@@ -92,6 +125,23 @@ def _nearest(nodes: list[Node], name: Node) -> Node | None:
     return min(nodes, key=lambda n: (distance(name, n), n.order), default=None)
 
 
+def _link_box(card: Node) -> Node | None:
+    """The box of links in the card, else the first of its siblings that looks like one."""
+    inside = first(card, LINK_BOXES)
+    if inside is not None or card.parent is None:
+        return inside
+    return next((e for e in card.parent.elements() if e is not card and any(w in e.attrs.get("class", "").lower() for w in LINK_BOX_WORDS)), None)
+
+
+def _nearest_link(card: Node, name: Node, scheme: str) -> Node | None:
+    """The link nearest to the name, in the card or, if it has none, in its box of links."""
+    for box in (card, _link_box(card)):
+        found = [n for n in box.walk() if n.tag == "a" and n.attrs.get("href", "").lower().startswith(scheme)] if box is not None else []
+        if found:
+            return _nearest(found, name)
+    return None
+
+
 def _hinted(card: Node, words: tuple[str, ...]) -> str:
     """Texts and labels of elements whose label names one of the words."""
     found = [n for n in card.walk() if any(w in (n.attrs.get("aria-label", "") + " " + n.attrs.get("title", "")).lower() for w in words)]
@@ -112,13 +162,13 @@ def card_rows(card: Node, base: str, selector: str) -> Iterator[dict]:
     def row(kind: str, value: str, method: str, rank: int, where: str, quote: str, shown: str = "") -> dict:
         return {"person_name": name, "role_title": role, "contact_type": kind, "value": value, "shown": shown, "method": method, "rank": rank, "selector_or_xpath": f"{selector} {where}", "verbatim_quote": quote, **signs}
 
-    mailto = _nearest([n for n in links if n.attrs["href"].lower().startswith("mailto:")], name_node)
+    mailto = _nearest_link(card, name_node, "mailto:")
     if mailto is not None:
         yield row("email", mailto.attrs["href"], "mailto", 0, "a[href*='mailto:']", mailto.text() or mailto.attrs["href"], mailto.text())
     else:
         for rank, source in enumerate((_hinted(card, ("email", "e-mail")), text), 1):
             yield row("email", "", "text", rank, ":text-email", source, source)
-    tel = _nearest([n for n in links if n.attrs["href"].startswith("tel:")], name_node)
+    tel = _nearest_link(card, name_node, "tel:")
     if tel is not None:
         yield row("phone", tel.attrs["href"][4:], "tel", 0, "a[href*='tel:']", tel.text() or tel.attrs["href"])
     else:
@@ -174,13 +224,12 @@ def repeating(page: Node) -> list[Node]:
 
 
 def company_of(page: Node, url: str) -> str:
-    """Title, first heading or brand, cut at the first hyphen or bar; else the host in title case."""
-    for selector in ("title", "h1", ".company-name, .brand, .logo"):
+    """The first of COMPANIES with a text, cut at its first hyphen or bar, that is no heading; else the host in title case."""
+    for selector in COMPANIES:
         node = first(page, selector)
-        if node is not None:
-            shown = re.sub(r"\s*[-|].*$", "", node.text()).strip()
-            if shown and not re.match(r"(home|welcome|about|contact)\b", shown, re.I):
-                return shown[:100]
+        shown = re.sub(r"\s*[-|].*$", "", node.text()) if node is not None else ""
+        if shown and not NO_COMPANY.match(shown):
+            return shown[:100]
     return urlsplit(url).netloc.replace("www.", "").title()
 
 

@@ -550,7 +550,7 @@ def time_cost_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- extraction ------------------------------------------------------------------------------------------------------
 
 _WRITTEN = f"""
-WITH c AS (SELECT *, trim(regexp_replace(person_name, ' +', ' ', 'g')) AS name, trim(company) AS firm, CASE WHEN role_title = 'Unknown' THEN 'Unknown' ELSE role_title END AS role FROM ({CONTACTS_SQL}))
+WITH c AS (SELECT *, trim(regexp_replace(person_name, ' +', ' ', 'g')) AS name, trim(company) AS firm, CASE WHEN regexp_matches(lower(role_title), '{'|'.join(extract.MINOR_ROLES)}') THEN 'Unknown' ELSE role_title END AS role FROM ({CONTACTS_SQL}))
 """
 
 
@@ -577,6 +577,33 @@ def table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.accepted(extract.candidates(_cards(spark, sf_dir, "table"))).select("page_id", "company", "person_name", "role_title", "contact_type", "contact_value")
 
 
+#: Forms of titles, first headings, names and roles that pages are made of.
+_FORMS = {
+    "title": ("Firm - Team", "Team - Firm", "News & Insights | Firm", "Home", "About us", "Contacts", "Teamwork | Firm"),
+    "heading": ("People", "Acme and Sons", "", "Press room"),
+    "name": ("Ada Arden", "Dr. Ben Birch", "Business Services Team", "Executive Team", "Ada", "Dr. Ada", "Cleo 3 Cole", "Contact us", "Élan Ünal"),
+    "role": ("Partner", "Retired", "Executive Assistant", "Coming soon", "Open Seat", "VP", "International Counsel", "Head of Data", "Paralegal", "Email", "Areas of Focus:"),
+}
+_FORM_SQL = ", ".join(f"[{', '.join(repr(f) for f in forms)}][CAST(page_id % {len(forms)} AS INT) + 1] AS {name}" for name, forms in _FORMS.items())
+_HEADING = "(?i)^(contact|contacts|news( *& *insights)?|press|team|people|about)\\b"
+
+
+@register(f"""
+WITH f AS (SELECT page_id, {_FORM_SQL} FROM pages), c AS (SELECT *, regexp_replace(title, ' *[-|].*$', '') AS cut FROM f)
+SELECT page_id, CASE WHEN NOT regexp_matches(cut, '{_HEADING}') THEN cut WHEN heading <> '' AND NOT regexp_matches(heading, '{_HEADING}') THEN heading ELSE 'Firm-' || page_id % 3 || '.Example' END AS company,
+       regexp_replace(name, '^Dr. ', '') AS person_name,
+       CASE WHEN length(role) < 3 OR lower(role) IN ({', '.join(repr(r) for r in sorted(extract.NO_ROLES))}) OR regexp_matches(lower(role), '{'|'.join(extract.MINOR_ROLES)}') THEN 'Unknown' ELSE role END AS role_title
+FROM c WHERE name NOT IN ('Business Services Team', 'Executive Team', 'Ada', 'Dr. Ada', 'Cleo 3 Cole', 'Contact us')
+""")
+def card_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company, name and title of cards in many forms; names that are none give no row."""
+    n = F.col("page_id")
+    form = {name: F.element_at(F.array(*map(F.lit, forms)), (n % len(forms)).cast("int") + 1) for name, forms in _FORMS.items()}
+    html = F.format_string("<title>%s</title><h1>%s</h1><div class='team-member'><h3>%s</h3><p class='title'>%s</p><a href='tel:5555550101'>call</a></div>", *(form[k] for k in ("title", "heading", "name", "role")))
+    made = _pages(spark, sf_dir).select("page_id", F.concat(F.lit("https://www.firm-"), n % 3, F.lit(".example/team")).alias("url"), html.alias("html"))
+    return extract.candidates(made).where("contact_type = 'phone'").select("page_id", "company", "person_name", "role_title")
+
+
 @register()
 def fast_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.accepted(extract.candidates(_cards(spark, sf_dir, "card"), rendered=True)).select("page_id", "person_name", "contact_type", "contact_value")

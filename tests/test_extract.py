@@ -40,12 +40,46 @@ def test_contacts_of_golden_pages(spark):
 
 
 def test_rendered_sweep_and_company():
-    html = "<title>Home</title><h1>Acme | Lawyers</h1><h2>Ada Arden</h2><h3>Not</h3><a href='tel:+1 (555) 555-0101'>t</a><ul><li class='list-item'><h4>Ben Birch</h4><a href='mailto:b@acme.example'>b</a></li></ul>"
+    html = "<title>Team - Acme</title><h1>Acme | Lawyers</h1><h2>Ada Arden</h2><h3>Not</h3><a href='tel:+1 (555) 555-0101'>t</a><ul><li class='list-item'><h4>Ben Birch</h4><a href='mailto:b@acme.example'>b</a></li></ul>"
     rows = list(E.page_rows(html, "https://acme.example/team", rendered=True))
     assert [(r["person_name"], r["contact_type"], r["company"]) for r in rows] == [("Ada Arden", "phone", "Acme"), ("Ben Birch", "email", "Acme")]
     assert E.company_of(parse(""), "https://my-3m.example/x") == "My-3M.Example"
 
 
+def test_names_roles_and_companies():
+    names = {"Ada Arden": True, "Ada": False, "Our Team": False, "Business Services Team": False, "Executive Team": False, "Ada 3": False, "Ada van der 3": True, "Élan Ünal": True, "": False}
+    assert {n: E.is_name(n) for n in names} == names
+    roles = {
+        "<h3>Ada Arden</h3><p class='title'>Partner</p>": "Partner",
+        "<h3>Ada Arden</h3><p class='title'>Retired</p><em>Partner</em>": "Partner",
+        "<h3>Ada Arden</h3><p class='title'>Executive Assistant</p>": "Unknown",
+        "<h3>Ada Arden</h3><p class='title'>Coming soon</p><em>Partner</em>": "Unknown",
+        "<h3>Ada Arden</h3><p class='title'>Open Seat</p>": "Unknown",
+        "<h3>Ada Arden</h3><p class='title'>VP</p>": "Unknown",
+        "<p><strong>Ada Arden</strong><br>Head <b>of Data</b><br>Berlin</p><p>Other</p>": "Head of Data",
+        "<p><strong>Ada Arden</strong></p><p>Chair</p><p>Other</p>": "Chair",
+        "<h3>Ada Arden</h3><p class='title'>" + "x" * 300 + "</p>": "x" * 200,
+    }
+    for html, role in roles.items():
+        card = parse(f"<div>{html}</div>").elements()[0]
+        assert E.role_of(card, E.name_of(card)[0]) == role, html
+    assert E.name_of(parse("<h3>Dr. Ada</h3><p class='name'>Ben Birch</p>")) is None
+    companies = {
+        "<title>Firm - Team</title>": "Firm", "<title>Team - Firm</title><h1>Firm &amp; Sons</h1>": "Firm & Sons", "<title>News &amp; Insights | F</title><p class='organization'>Org</p>": "Org",
+        "<title>About us</title><h1>People</h1><div data-company='x'>Data Co</div>": "Data Co", "<title>Home</title>": "Home", "<title>Teamwork | x</title>": "Teamwork",
+        "<title>Contacts</title><h1>Press</h1><span class='brand-title'>Brand</span>": "Brand", "": "Acme.Example",
+    }
+    assert {h: E.company_of(parse(h), "https://www.acme.example/x") for h in companies} == companies
+
+
+def test_links_of_a_card_may_stand_beside_it():
+    html = "<section><div class='team-member'><h3>Ada Arden</h3>{inside}</div><div class='x'><a href='mailto:x@acme.example'>x</a></div><ul class='card-Links'><li><a href='mailto:ada@acme.example'>m</a><a href='tel:5555550101'>t</a></ul></section>"
+    found = lambda inside: {(r["contact_type"], r["value"]) for r in E.page_rows(html.format(inside=inside), "https://acme.example/team") if r["method"] != "text"}
+    assert found("") == {("email", "mailto:ada@acme.example"), ("phone", "5555550101")}
+    assert found("<a href='mailto:a.arden@acme.example'>m</a>") == {("email", "mailto:a.arden@acme.example"), ("phone", "5555550101")}
+    assert found("<p class='actions'>none</p>") == set()  # the card has a box of its own
+
+
 def test_links(spark):
     html = "<a href='/team/'>Us</a><a href='/team'>again</a><a href='/x'>Kontakt</a><a href='/about?x=1'>About</a><a href='https://else.example/team'>Team</a><a href='/y'>none</a><a href='HTTPS://WWW.a.example/board'>b</a>"
     pages = spark.createDataFrame([(1, "https://a.example/", html)], "page_id long, url string, html string")
