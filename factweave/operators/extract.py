@@ -303,7 +303,7 @@ def candidates(pages: DataFrame, rendered: bool = False) -> DataFrame:
 
 def accepted(rows: DataFrame, site_counts: DataFrame | None = None, allow_free: bool = False) -> DataFrame:
     """Candidates to contacts: values read, telephone numbers checked, addresses of other domains scored, the best rank of
-    each person and kind kept. site_counts: (page_id, domain, site_count) of routing.site_counts, if there is any."""
+    each person and kind kept, at the place of their first one. site_counts: (page_id, domain, site_count) of routing.site_counts, if there is any."""
     email = F.when(F.col("method") == "mailto", V.from_mailto(F.col("value"), F.col("shown"))).otherwise(F.lower(F.coalesce(F.nullif(F.regexp_extract("shown", V.EMAIL, 0), F.lit("")), V.deobfuscated(F.col("shown")))))
     d = T.digits(F.col("value"))
     phone = F.when(F.col("method") == "tel", d).when(V.plausible_phone(d), d)
@@ -323,8 +323,8 @@ def accepted(rows: DataFrame, site_counts: DataFrame | None = None, allow_free:
     evidence = F.struct(F.col("page_url").alias("source_url"), "selector_or_xpath", "verbatim_quote")
     best = F.min_by(F.struct("company", "role_title", "contact_value", evidence.alias("evidence"), "why"), F.struct("rank", "place"))
     key = F.when(F.col("contact_type") == "link", F.col("contact_value")).otherwise("")
-    by = rows.groupBy("page_id", "person_name", "contact_type", key.alias("_link")).agg(best.alias("b"))
-    return by.select("page_id", "person_name", "contact_type", "b.*")
+    by = rows.groupBy("page_id", "person_name", "contact_type", key.alias("_link")).agg(best.alias("b"), F.min("place").alias("place"))
+    return by.select("page_id", "place", "person_name", "contact_type", "b.*")
 
 
 def follow_ups(cards: DataFrame, pages: DataFrame, most: int = routing.FOLLOW_UPS) -> DataFrame:

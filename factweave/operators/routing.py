@@ -17,6 +17,8 @@ PAGES_PER_LINE, FOLLOW_UPS = 10, 5
 #: Points for the signs that an address of another domain belongs to the person. Fixed values.
 POINTS = {"title": 1, "mailto": 2, "phone": 2, "vcard": 2, "show-email": 1, "repeat>=3": 2, "repeat>=2": 1, "site>=5": 2, "site>=3": 1, "footer": 2, "neg-zone": -2}
 ACCEPT_FROM = 5
+#: Numbers (of which each has one page at most) that are looked at in order by one task.
+CHUNK_BITS = 16
 
 
 def candidates(lines: DataFrame, paths: tuple[str, ...] = U.INCLUDED, most: int = PAGES_PER_LINE) -> DataFrame:
@@ -47,10 +49,7 @@ def headless_grants(pages: DataFrame, share: float = SHARE, per_domain: int = PE
         found = step if found is None else found.unionByName(step)
         previous = step
     grants = found.select("domain", F.col("last").alias("granted_seq"))
-    taken = grants.orderBy("granted_seq").limit(per_run)
-    last = taken.agg(F.count("*").alias("n"), F.max("granted_seq").alias("last")).first()
-    run_full_after = last["last"] if last["n"] >= per_run else None
-    kept = grants if run_full_after is None else grants.where(F.col("granted_seq") <= run_full_after)
+    kept = grants.orderBy("granted_seq").limit(per_run)
     rows = counted.join(kept, (counted["domain"] == kept["domain"]) & (counted["seq"] == kept["granted_seq"]), "left").select(counted["*"], F.col("granted_seq").isNotNull().alias("granted"))
     before = F.coalesce(F.sum(F.col("granted").cast("int")).over(Window.partitionBy("domain").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rows = rows.withColumn("before", before)
@@ -59,15 +58,23 @@ def headless_grants(pages: DataFrame, share: float = SHARE, per_domain: int = PE
     return rows.select("seq", "domain", "wants", "granted", denial.alias("denial"))
 
 
-def site_counts(pages: DataFrame, mails: DataFrame) -> DataFrame:
+def site_counts(pages: DataFrame, mails: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame:
     """Running counts of mail domains over consecutive pages of one host: (seq, domain, page_count, site_count).
 
     pages: (seq, host); mails: (seq, domain, n). A host met again after another starts anew. The running order is global by
-    definition; islands come from one ordered pass over (seq, host) alone, all else is by island and domain.
+    definition: chunks of 2 ** chunk_bits numbers are ordered apart, then one row for each chunk tells whether its first
+    island goes on from the chunk before; all else is by island and domain.
     """
-    order = Window.orderBy("seq")
-    starts = pages.withColumn("start", F.coalesce(F.col("host") != F.lag("host").over(order), F.lit(True)).cast("int"))
-    islands = starts.withColumn("island", F.sum("start").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).select("seq", "island")
+    within, chunks = Window.partitionBy("chunk").orderBy("seq"), Window.orderBy("chunk")
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    rows = pages.select("seq", "host", F.shiftright("seq", chunk_bits).alias("chunk"))
+    rows = rows.withColumn("start", F.coalesce(F.col("host") != F.lag("host").over(within), F.lit(True)).cast("int"))
+    ends = rows.groupBy("chunk").agg(F.min_by("host", "seq").alias("head"), F.max_by("host", "seq").alias("tail"), F.sum("start").alias("starts"))
+    goes_on = F.coalesce(F.col("head") == F.lag("tail").over(chunks), F.lit(False)).cast("int")
+    ends = ends.withColumn("added", F.col("starts") - goes_on)
+    before = ends.select("chunk", (F.sum("added").over(chunks.rowsBetween(*upto)) - F.col("starts")).alias("before"))
+    islands = rows.withColumn("nth", F.sum("start").over(within.rowsBetween(*upto))).join(before, "chunk")
+    islands = islands.select("seq", (F.col("before") + F.col("nth")).alias("island"))
     rows = mails.join(islands, "seq").groupBy("island", "seq", "domain").agg(F.sum("n").alias("page_count"))
     running = Window.partitionBy("island", "domain").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.select("seq", "domain", "page_count", F.sum("page_count").over(running).alias("site_count"))

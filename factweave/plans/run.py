@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import contact_values as V
+from ..functions import text as T
 from ..functions import urls as U
 from ..operators import contacts as C
-from ..operators import extract, rules
+from ..operators import extract, routing, rules
 from ..sources import readers, writers
 from .relations import PARSER_VERSION
 
@@ -26,13 +27,16 @@ class Options:
 
 def contacts_of(fetches: DataFrame, rendered: DataFrame | None = None, allow_free: bool = False) -> DataFrame:
     """Contacts with whole evidence from fetches (page_id, url, status_code, mime, html, fetched_at, blocked_by_robots) and,
-    where a page has reasons to be rendered and is a target, from rendered (page_id, html) instead."""
+    where a page has reasons to be rendered, is a target and is granted by the budgets, from rendered (page_id, html) instead."""
     pages = fetches.where((F.col("status_code") < 400) & ~F.coalesce("blocked_by_robots", F.lit(False)) & (F.col("mime") == "text/html"))
     static = extract.accepted(extract.candidates(pages), allow_free=allow_free)
     if rendered is not None:
         html = F.col("html")
         reasons = rules.escalation_reasons(F.col("mime"), F.octet_length(html), html, rules.term_hits(html))
-        wanting = pages.where((F.size(reasons) > 0) & U.ingest_target(F.col("url"))).select("page_id", "url")
+        wants = (F.size(reasons) > 0) & U.ingest_target(F.col("url"))
+        asked = pages.select(F.col("page_id").alias("seq"), U.authority(F.col("url")).alias("domain"), wants.alias("wants"))
+        granted = routing.headless_grants(asked).where("granted").select(F.col("seq").alias("page_id"))
+        wanting = pages.join(granted, "page_id").select("page_id", "url")
         shown = extract.accepted(extract.candidates(wanting.join(rendered.select("page_id", "html"), "page_id").select("page_id", "url", "html"), rendered=True), allow_free=allow_free)
         done = shown.select("page_id").distinct()
         static = static.join(done, "page_id", "left_anti").unionByName(shown)
@@ -42,11 +46,12 @@ def contacts_of(fetches: DataFrame, rendered: DataFrame | None = None, allow_fre
     shot = F.concat_ws("_", F.lit("static"), F.substring(F.md5(e["source_url"]), 1, 8), F.substring(F.md5(selector), 1, 8), F.date_format("fetched_at", "yyyyMMdd_HHmmss"))
     evidence = F.struct(
         e["source_url"].alias("source_url"), selector.alias("selector_or_xpath"), e["verbatim_quote"].alias("verbatim_quote"), F.concat(shot, F.lit(".png")).alias("dom_node_screenshot"),
-        F.col("fetched_at").alias("timestamp"), F.lit(PARSER_VERSION).alias("parser_version"), F.sha2(F.lower(F.trim(e["verbatim_quote"])), 256).alias("content_hash"),
+        F.col("fetched_at").alias("timestamp"), F.lit(PARSER_VERSION).alias("parser_version"), F.sha2(F.lower(T.strip(e["verbatim_quote"])), 256).alias("content_hash"),
     )
-    # places in the input settle ties: by page, then by person and kind
-    seq = F.col("page_id") * 1_000_000 + F.pmod(F.xxhash64("person_name", "contact_type", "contact_value"), F.lit(1_000_000))
-    return rows.select(seq.alias("seq"), "company", "person_name", "role_title", "contact_type", "contact_value", e["source_url"].alias("page_url"), F.col("fetched_at").alias("captured_at"), evidence.alias("evidence"))
+    # places in the input settle ties: pages by their ids, then candidates in the page's order
+    seq = F.col("page_id") * 1_000_000 + F.col("place")
+    made = rows.select(seq.alias("seq"), "company", "person_name", "role_title", "contact_type", "contact_value", e["source_url"].alias("page_url"), F.col("fetched_at").alias("captured_at"), evidence.alias("evidence"))
+    return C.page_deduped(made)
 
 
 def export_all(contacts: DataFrame, out: str, options: Options = Options()) -> dict:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import present, strip
@@ -41,13 +41,12 @@ def source_urls(df: DataFrame) -> Column:
 def email_list(spark: SparkSession, path: str) -> DataFrame:
     """(seq, email) of the tokens with an @ in a text or CSV file, each at its first place."""
     tokens = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), F.posexplode(F.split("value", r"[,;\s\"]+")).alias("k", "email")).where(F.col("email").contains("@"))
-    return tokens.groupBy("email").agg(F.min(F.struct("line", "k")).alias("at")).select(F.row_number().over(_by("at")).alias("seq"), "email")
-
-
-def _by(column: str):
-    from pyspark.sql import Window
-
-    return Window.orderBy(column)
+    places = tokens.groupBy("email").agg(F.min(F.struct("line", "k")).alias("at")).withColumn("part", F.shiftright("at.line", 33))
+    # lines are numbered by the part of the input they were read in, so each part is ordered apart
+    parts = places.groupBy("part").agg(F.count("*").alias("n"))
+    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy("at"))
+    return places.withColumn("nth", nth).join(before, "part").select((F.col("before") + F.col("nth")).alias("seq"), "email")
 
 
 def gold(spark: SparkSession, glob: str) -> DataFrame:
