@@ -41,9 +41,9 @@ def decisions(attempts: DataFrame, cached: DataFrame, per_domain: int = PER_DOMA
 
 
 def outcomes(probes: DataFrame, hosts: DataFrame, rcpt: DataFrame) -> DataFrame:
-    """(seq, email, domain) with hosts (domain, host, host_rank) and rcpt (email, mx_host, smtp_code, raised): the first host
-    that accepts decides, else the last; without a host there is no network."""
-    tried = probes.join(hosts, "domain", "left").join(rcpt.withColumnRenamed("mx_host", "host"), ["email", "host"], "left")
+    """(seq, email, domain) with hosts (domain, host, host_rank) and rcpt (seq, mx_host, smtp_code, raised), the answers of each
+    attempt's own dialogues: the first host that accepts decides, else the last; without a host there is no network."""
+    tried = probes.join(hosts, "domain", "left").join(rcpt.withColumnRenamed("mx_host", "host"), ["seq", "host"], "left")
     ok = F.col("smtp_code").between(200, 299) & ~F.coalesce("raised", F.lit(False))
     result = F.struct("host", "smtp_code", "raised")
     by = tried.groupBy("seq", "email", "domain").agg(F.min_by(result, F.when(ok, F.col("host_rank"))).alias("won"), F.max_by(result, "host_rank").alias("last"), (F.count("host_rank") > 0).alias("mx_found"))

@@ -517,7 +517,7 @@ def probe_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     probes = _policy(spark, sf_dir).where("decision = 'probe'").drop("decision")
     hosts = probe.ranked_hosts(_hosts(spark, sf_dir))
     turn = F.col("seq") + F.col("host_rank")
-    rcpt = probes.join(hosts, "domain").select("email", F.col("host").alias("mx_host"), F.element_at(F.array(*map(F.lit, (250, 451, 550, 199))), (turn % 4 + 1).cast("int")).alias("smtp_code"), (turn % 9 == 0).alias("raised"))
+    rcpt = probes.join(hosts, "domain").select("seq", F.col("host").alias("mx_host"), F.element_at(F.array(*map(F.lit, (250, 451, 550, 199))), (turn % 4 + 1).cast("int")).alias("smtp_code"), (turn % 9 == 0).alias("raised"))
     return probe.outcomes(probes, hosts, rcpt)
 
 
