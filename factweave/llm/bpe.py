@@ -5,8 +5,11 @@ of the pair whose left part starts at byte i, with i in its low bits, so the roo
 merge changes three leaves at most: the pair's own, that of the part it swallowed, and that of the live neighbour before
 it; each is a point update of logarithmic cost, so a piece of n bytes takes O(n log n) however long it is.
 
-Most pieces repeat. Each worker process keeps a bounded memo of pieces, and of the parts of texts (see parts); neither ever
-changes a result.
+Short pieces are merged together by the same rule, column by column of an array: each round merges the leftmost pair of
+least rank in every piece that has one (see _merge_short).
+
+Most pieces repeat. Each worker process keeps a bounded memo of the parts of texts (see parts), and of pieces of the texts that
+can't be cut into parts; neither ever changes a result.
 
 Defined cases: null counts as the empty text, which has no tokens; lone bytes that form no token of their own, an id that
 the vocabulary lacks: ValueError; repeated rows and ids are encoded row by row; no rows give no rows.
@@ -16,20 +19,26 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, only
+from .kernels import _ranges
 from .parts import Parts, runs
 
 #: More than any rank with a position.
 NONE = 1 << 62
 #: Pieces that a worker process remembers; about 200 bytes each.
 MEMO = 60_000
+#: Bytes of the longest pieces that are merged together, and how many at once: their arrays stay in the processor's cache.
+SHORT, TOGETHER = 32, 8192
 
 
 class Memo(dict):
@@ -66,6 +75,18 @@ class Bpe:
         top = max(ranks.values(), default=-1) + 1
         self.decimal = pa.array([f"{k}," for k in range(top)], pa.large_string())
         self.bytes = pa.array([self.token.get(k) for k in range(top)], pa.large_binary())
+        self.known, self.rank = pa.array(list(ranks), pa.binary()), np.fromiter(ranks.values(), np.int64, len(ranks))
+        self.byte = np.array([ranks.get(bytes([k]), -1) for k in range(256)], np.int64)
+        self.side = top
+        pair, made, get = array("q", [NONE]), array("q", [NONE]), ranks.get
+        for raw, rank in ranks.items():
+            for k in range(1, len(raw)):
+                if (left := get(raw[:k])) is not None and (right := get(raw[k:])) is not None:
+                    pair.append(left * top + right)
+                    made.append(rank)
+        #: both parts' ids, sorted, and the rank of what they make together; the last fits none
+        order = np.argsort(pair)
+        self.pair, self.made = np.array(pair)[order], np.array(made)[order]
 
     def merge(self, raw: bytes) -> list[int]:
         """The ids of one piece."""
@@ -122,13 +143,94 @@ class Bpe:
             i = e
         return ids
 
+    def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of what two parts make together, or NONE."""
+        key = left * self.side + right
+        at = np.searchsorted(self.pair, key)
+        return np.where(self.pair[at] == key, self.made[at], NONE)
+
+    def _merge_short(self, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces of 2 to SHORT bytes that are no tokens, one after the other, and the number of each.
+
+        A piece is a column. Row i holds the part that starts at byte i and the pair it begins, as rank and place, so a column's
+        least is its leftmost pair of least rank; a merge changes that row, the swallowed part's, and the live one before.
+        """
+        n, w = len(size), int(size.max())
+        rows, columns = np.arange(w)[:, None], np.arange(n)
+        ids = np.where(rows < size, self.byte[raw[np.minimum(start + rows, len(raw) - 1)]], -1)
+        pair = np.full((w, n), NONE)
+        made = self._made(ids[:-1], ids[1:])
+        pair[:-1] = np.where((rows[1:] < size) & (made < NONE), made * SHORT + rows[:-1], NONE)
+        after, before = np.repeat(rows + 1, n, 1), np.repeat(rows - 1, n, 1)
+        ids, after, before = ids.ravel(), after.ravel(), before.ravel()
+        while len(columns):
+            best = pair.min(0)
+            on = np.flatnonzero(best < NONE)
+            if 2 * len(on) < len(columns):  # those that are done go
+                pair, best, columns = np.ascontiguousarray(pair[:, on]), best[on], columns[on]
+                on = np.arange(len(columns))
+            best, column = best[on], columns[on]
+            i, new = best % SHORT, best // SHORT
+            here = i * n + column
+            swallowed = after[here]
+            end = after[swallowed * n + column]
+            ids[here], ids[swallowed * n + column] = new, -1
+            after[here] = end
+            pair[swallowed, on] = NONE
+            pair[i, on] = NONE
+            go = np.flatnonzero(end < size[column])
+            then = end[go] * n + column[go]
+            before[then] = i[go]
+            made = self._made(new[go], ids[then])
+            pair[i[go], on[go]] = np.where(made < NONE, made * SHORT + i[go], NONE)
+            p = before[here]
+            go = np.flatnonzero(p >= 0)
+            made = self._made(ids[p[go] * n + column[go]], new[go])
+            pair[p[go], on[go]] = np.where(made < NONE, made * SHORT + p[go], NONE)
+        ids = ids.reshape(w, n).T
+        live = ids >= 0
+        return ids[live], live.sum(1)
+
+    def merge_all(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many pieces (strings), one after the other, and the number of each."""
+        raw = pieces.cast(pa.binary())
+        at = np.frombuffer(raw.buffers()[1], np.int32, len(raw) + 1, 4 * raw.offset).astype(np.int64) if len(raw) else np.zeros(1, np.int64)
+        data = np.frombuffer(raw.buffers()[2] or b"", np.uint8) if len(raw) else np.zeros(0, np.uint8)
+        size, count = np.diff(at), np.ones(len(raw), np.int64)
+        token = pc.fill_null(pc.index_in(raw, self.known), -1).to_numpy()
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.flatnonzero(token >= 0), self.rank[token[token >= 0]])]
+        lacks = np.concatenate([[0], np.cumsum(self.byte[data] < 0)])
+        lacks = lacks[at[1:]] > lacks[at[:-1]]
+        rest = token < 0
+        short = np.flatnonzero(rest & (size > 1) & (size <= SHORT) & ~lacks)
+        short = short[np.argsort(size[short], kind="stable")]
+        for k in range(0, len(short), TOGETHER):
+            these = short[k : k + TOGETHER]
+            ids, count[these] = self._merge_short(data, at[these], size[these])
+            out.append((these, ids))
+        for k in np.flatnonzero(rest & ((size < 2) | (size > SHORT) | lacks)).tolist():
+            ids = self.merge(raw[k].as_py())
+            count[k] = len(ids)
+            out.append((np.array([k]), np.array(ids, np.int64)))
+        first = np.cumsum(count) - count
+        flat = np.empty(int(count.sum()), "<u4")
+        for these, ids in out:
+            flat[_ranges(first[these], count[these])] = ids
+        return flat, count
+
     def whole(self, text: str) -> np.ndarray:
         """The ids of a text, piece by piece, as unsigned 32-bit integers."""
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.find(text))), "<u4")
 
     def _learn(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        raw = [b"".join(map(self.pieces.__getitem__, self.find(x))) for x in strings]
-        return np.frombuffer(b"".join(raw), "<u4"), np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        found = [self.find(x) for x in strings]
+        bounds = np.cumsum([0, *map(len, found)])
+        pieces = pa.array(chain.from_iterable(found), pa.string()).dictionary_encode()
+        ids, count = self.merge_all(pieces.dictionary)
+        which = pieces.indices.to_numpy()
+        sizes = count[which]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[bounds]
+        return ids[_ranges((np.cumsum(count) - count)[which], sizes)], np.diff(ends)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after the other; bounds of each text's)."""

@@ -62,6 +62,28 @@ def test_unknown_bytes_and_ids(both):
             bad()
 
 
+def test_pieces_are_merged_together(both, monkeypatch):
+    mine = B.Bpe(both[0].ranks, P.PATTERN)
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdeilnorstuxéß漢🙂'") for _ in range(rnd.randrange(1, 9))) for _ in range(20_000)]
+    slow, merge = [], mine.merge
+    monkeypatch.setattr(mine, "merge", lambda raw: slow.append(raw) or merge(raw))
+    ids, bounds = mine.encode(pa.array([" ".join(words), "ab" * 40, "a" * 31 + " " + "a" * 32 + " " + "a" * 33]))
+    want = [both[1].encode_ordinary(t) for t in (" ".join(words), "ab" * 40, "a" * 31 + " " + "a" * 32 + " " + "a" * 33)]
+    assert [x.tolist() for x in np.split(ids, bounds[1:-1])] == want
+    assert {len(raw) > B.SHORT for raw in slow} == {True}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("abcé", min_size=1, max_size=50), max_size=40, unique=True))
+def test_together_as_one_by_one(pieces):
+    """Also where a byte is no token of its own, and where a token can't be reached by merging."""
+    for tokens in (b"a b c ab bc abc ca cabca aa aaaa \xc3\xa9 \xc3 \xa9".split(), b"a b c ab ba \xc3\xa9 a\xc3\xa9".split()):
+        bpe = B.Bpe({raw: k for k, raw in enumerate(tokens)}, P.PATTERN)
+        ids, count = bpe.merge_all(pa.array(pieces, pa.string()))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])][: len(pieces)] == [bpe.merge(x.encode()) for x in pieces]
+
+
 def test_dataframes(spark, both):
     rows = [(k, t) for k, t in enumerate(ODD)] + [(None, "null id"), (3, None), (3, None)]
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id int, text string, n_tokens int")
