@@ -244,11 +244,11 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
         shared = context.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
-            for batch in (x for whole in batches for x in shares(whole)):
+            for batch in (x for whole in batches for x in shares(whole, 2_000_000)):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[row for row, _ in _found(shared.value, batch, column)]] = False
                 yield batch.filter(pa.array(keep))
-            trim()
+                trim()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

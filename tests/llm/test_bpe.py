@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +85,22 @@ def test_together_as_one_by_one(pieces):
         assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])][: len(pieces)] == [bpe.merge(x.encode()) for x in pieces]
 
 
+def test_memory_of_a_batch_is_bounded(both):
+    """Six megabytes of words that are all new, as one batch."""
+    rnd = random.Random(7)
+    texts = [" ".join("".join(rnd.choices("abcdeilnorstu", k=8)) for _ in range(1300)) for _ in range(500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(500)), "text": texts})
+    work = B._each_run(PATH, P.PATTERN, B._digests)()
+    tracemalloc.start()
+    try:
+        got = work(batch)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got["n_tokens"][:3] == [len(both[1].encode_ordinary(x)) for x in texts[:3]]
+    assert peak < 90e6, peak
+
+
 def test_dataframes(spark, both):
     rows = [(k, t) for k, t in enumerate(ODD)] + [(None, "null id"), (3, None), (3, None)]
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id int, text string, n_tokens int")
