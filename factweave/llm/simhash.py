@@ -157,14 +157,14 @@ def _bits(a: str, b: str, words: list[str]) -> Column:
 
 
 def _filed(nodes: DataFrame, index: Index, *columns: str, with_own: bool = False) -> DataFrame:
-    """(key, columns): a row for each value of the ball around each segment. Keys of sets filed by their shingles are negative.
+    """(columns, key): a row for each value of the ball around each segment. Keys of sets filed by their shingles are negative.
     own: the segment's value itself; two fingerprints that meet in a segment do so under own | own, among other keys.
     Joins of these ask for a merge: Spark's estimate of their size doesn't know how many rows the ball makes."""
     segment = [F.shiftrightunsigned(F.col(f"f{s.lane}"), s.shift).bitwiseAND((1 << s.width) - 1).bitwiseOR(F.lit(n << 40)) for n, s in enumerate(index.segments)]
     segment = F.array(*segment)
     if "short" in nodes.columns:
         segment = F.when(F.col("long"), F.concat(segment, "short")).otherwise(F.col("short"))
-    rows = nodes.select(F.explode(segment).alias("own"), *columns)
+    rows = nodes.select(*columns, F.explode(segment).alias("own"))
     own, balls = F.col("own"), [F.col("own")]
     n = F.shiftright(own, 40)
     for radius in range(1, 1 + max(s.radius for s in index.segments)):
@@ -173,41 +173,51 @@ def _filed(nodes: DataFrame, index: Index, *columns: str, with_own: bool = False
             within = [k for k, w in having if top < w]
             here = (own >= 0) if len(within) == len(index.segments) else n.isin(within)
             balls.append(F.when(here & (own.bitwiseAND(mask) == 0), own.bitwiseOR(F.lit(mask))))
-    return rows.select(F.explode(F.array(*balls)).alias("key"), *(["own"] if with_own else []), *columns).where("key is not null")
+    return rows.select(*columns, *(["own"] if with_own else []), F.explode(F.array(*balls)).alias("key")).where("key is not null")
 
 
 def _as(rows: DataFrame, prefix: str, *kept: str) -> DataFrame:
     return rows.select(*(F.col(c).alias(c if c in kept else f"{prefix}_{c}") for c in rows.columns))
 
 
-def links(nodes: DataFrame, index: Index, confirm: Callable[[DataFrame], DataFrame] | None = None, payload: tuple[str, ...] = (), likely: Column | None = None) -> DataFrame | None:
+def _with_another(filed: DataFrame, on: Callable[[str, str], Column]) -> DataFrame:
+    """The rows of `filed` (key, columns) for which there is one of the same key so that on("u.", "v.") holds. Spark moves
+    them once for both sides: they keep their names and their order, key last, so neither side has a projection of its own."""
+    u, v = filed.alias("u"), filed.alias("v")
+    return u.join(v.hint("merge"), (F.col("u.key") == F.col("v.key")) & on("u.", "v."), "left_semi")
+
+
+def links(nodes: DataFrame, index: Index, confirm: Callable[[DataFrame], DataFrame] | None = None, payload: tuple[str, ...] = (), likely: Callable[[str, str], Column] | None = None) -> DataFrame | None:
     """Edges (u, v) whose components are those of all linked pairs, or None if there are none.
 
     nodes: a written table of node, f0, ... of different fingerprints; with short (keys of its own) and long (whether segments
     count, too), if both are there. confirm: the linked ones of a table of pairs (u, v); by
-    default all that are within the index's distance. payload, likely: columns of nodes, and a condition on u_ and v_ of them
-    that refuses pairs before they are written down.
+    default all that are within the index's distance. payload, likely: columns of nodes, and a condition on them, with
+    the prefixes of both sides given, that refuses pairs before they are written down.
     """
     sketch = [f"f{k}" for k in range(index.lanes - index.sketch, index.lanes)]
     key = F.col("key")
     same = key == F.col("u_own").bitwiseOR(F.col("v_own"))  # one key for a segment that two have in common
 
-    def near(bits: Column) -> Column:
-        return (key < 0) | (bits <= index.most_sketch)
+    def near(bits: Column, side: str = "") -> Column:
+        return (F.col(f"{side}key") < 0) | (bits <= index.most_sketch)
 
     between = _bits("u_", "v_", sketch)
-    prints = nodes.groupBy(*sketch, *(c for c in ("short", "long") if c in nodes.columns), *sorted({f"f{s.lane}" for s in index.segments} - set(sketch))).agg(F.count("*").alias("n"))
+    there = reduce(lambda a, b: a & b, (F.col(x).isNotNull() for x in sketch))  # as a join further on would ask of one side alone
+    prints = nodes.where(there).groupBy(*sketch, *(c for c in ("short", "long") if c in nodes.columns), *sorted({f"f{s.lane}" for s in index.segments} - set(sketch))).agg(F.count("*").alias("n"))
     filed = _filed(prints, index, *sketch)
-    differ = reduce(lambda a, b: a | b, (F.col(f"u_{x}") != F.col(f"v_{x}") for x in sketch))
-    some = _as(filed, "u", "key").join(_as(filed, "v", "key").withColumnRenamed("key", "v_key").hint("merge"), (key == F.col("v_key")) & differ & near(between), "left_semi")
+    some = _with_another(filed, lambda u, v: reduce(lambda a, b: a | b, (F.col(f"{u}{x}") != F.col(f"{v}{x}") for x in sketch)) & near(_bits(u, v, sketch), u))
     alike = prints.groupBy(*sketch).agg(F.sum("n").alias("n")).where("n > 1").select(*sketch)
-    some = some.select(*(F.col(f"u_{x}").alias(x) for x in sketch)).union(alike)
+    some = some.select(*sketch).union(alike)
     now = materialise(nodes.join(some.distinct(), sketch, "left_semi").withColumn("part", F.col("node")), "neighbours")
     if payload and likely is not None:  # a member of a dense group finds another at once, so this looks at few of its pairs
-        rows = _filed(now, index, "node", *payload, with_own=True)
-        on = (key == F.col("v_key")) & same & (F.col("u_node") != F.col("v_node")) & near(between) & likely
-        some = _as(rows, "u", "key").join(_as(rows, "v", "key").withColumnRenamed("key", "v_key").hint("merge"), on, "left_semi")
-        now = materialise(now.join(some.select(F.col("u_node").alias("node")).distinct(), "node", "left_semi"), "neighbours")
+        rows = _filed(now.where("node is not null"), index, "node", *payload, with_own=True)
+
+        def like(u: str, v: str) -> Column:
+            meet = F.col(f"{u}key") == F.col(f"{u}own").bitwiseOR(F.col(f"{v}own"))
+            return meet & (F.col(f"{u}node") != F.col(f"{v}node")) & near(_bits(u, v, sketch), u) & likely(u, v)
+
+        now = materialise(now.join(_with_another(rows, like).select("node").distinct(), "node", "left_semi"), "neighbours")
     if now.isEmpty():
         return None
     edges: list[DataFrame] = []
@@ -238,7 +248,7 @@ def links(nodes: DataFrame, index: Index, confirm: Callable[[DataFrame], DataFra
     placed = rows.join(heads.hint("merge"), "key")
     u, v = _as(placed.where("part <> head").drop("head"), "u", "key"), _as(placed, "v", "key")
     once = (F.col("v_part") == F.col("v_head")) | (F.col("u_node") > F.col("v_node"))  # else both are found by the other, too
-    met = u.join(v.hint("merge"), "key").where(apart & once & same & (F.lit(True) if likely is None else likely))
+    met = u.join(v.hint("merge"), "key").where(apart & once & same & (F.lit(True) if likely is None else likely("u_", "v_")))
     met = met.select(F.greatest("u_node", "v_node").alias("u"), F.least("u_node", "v_node").alias("v")).distinct()
     edges.append(confirm(met) if confirm else materialise(met, "links"))
     return reduce(DataFrame.union, edges)
@@ -330,15 +340,18 @@ def similar_links(docs: DataFrame, prints: DataFrame, shingle: int = 5) -> DataF
     nodes = nodes.withColumn("long", F.col("size") > SHORT)
     index = similar_index(nodes.count())
     a, b = SIMILAR
-    u_size, v_size = F.col("u_size"), F.col("v_size")
-    odd = _bits("u_", "v_", sketches[lanes:]) * (a + b) <= (u_size + v_size) * (b - a)
-    likely = odd & ((F.greatest(u_size, v_size) <= LONG) | (_bits("u_", "v_", sketches[: index.lanes]) <= index.most))
+
+    def likely(u: str, v: str) -> Column:
+        u_size, v_size = F.col(f"{u}size"), F.col(f"{v}size")
+        odd = _bits(u, v, sketches[lanes:]) * (a + b) <= (u_size + v_size) * (b - a)
+        return odd & ((F.greatest(u_size, v_size) <= LONG) | (_bits(u, v, sketches[: index.lanes]) <= index.most))
+
     slim = nodes.select("node", "size", *sketches)
 
     def confirm(pairs: DataFrame) -> DataFrame:
         for x in ("u", "v"):
             pairs = pairs.join(_as(slim, x).withColumnRenamed(f"{x}_node", x), x)
-        close = materialise(pairs.where(likely).select("u", "v"), "candidates")
+        close = materialise(pairs.where(likely("u_", "v_")).select("u", "v"), "candidates")
         if close.isEmpty():
             return close
         wanted = materialise(close.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node"), "wanted")

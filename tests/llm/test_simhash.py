@@ -2,6 +2,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from factweave.llm import simhash as S
 from factweave.llm.components import connected_components
@@ -151,3 +152,22 @@ def test_repeated_ids_with_different_texts(spark):
     a, b, c = (" ".join(new(rnd, 40)) for _ in range(3))
     assert kept(spark, [(3, a), (7, a + " tail"), (7, b), (9, b + " end"), (9, c), (9, c)]) == sorted([(3, a), (7, b), (9, c), (9, c)])
     assert kept(spark, [(5, a), (5, a + " tail"), (5, b)]) in ([(5, x), (5, b)] if x < b else [(5, b), (5, x)] for x in (a, a + " tail"))
+
+
+def test_filed_rows_are_moved_once_for_both_sides_of_a_join(spark, monkeypatch):
+    index = S.similar_index(100)
+    words = [f"f{k}" for k in range(index.lanes)]
+    prints = spark.range(100).select(F.col("id").alias("node"), F.lit(100).cast("long").alias("size"), F.array(-1 - F.col("id")).alias("short"), *(F.xxhash64(F.floor(F.col("id") / 2), F.lit(w)).alias(w) for w in words))
+    nodes = S.materialise(prints, "nodes").withColumn("long", F.col("size") > S.SHORT)
+    plans, write = [], S.materialise
+
+    def seen(df, label):
+        if label == "neighbours":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return write(df, label)
+
+    monkeypatch.setattr(S, "materialise", seen)
+    monkeypatch.setattr(S, "ROUNDS", 0)
+    S.links(nodes, index, lambda _: None, ("size", *words), lambda u, v: F.col(f"{u}size") <= F.col(f"{v}size") + 1)
+    assert len(plans) >= 2 and all("ReusedExchange" in p and "key#" in p.split("ReusedExchange")[1].split("]")[0] for p in plans[:2])
