@@ -63,6 +63,15 @@ class Parts:
             self.one, self.two, self.slot = (x[order] for x in table)
         return out
 
+    def of(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of some strings, one after the other; the number of each); none is cut."""
+        held = strings.dictionary_encode()
+        if len(self.start) + len(held.dictionary) > self.most:
+            self._forget()
+        of = self._places(held.dictionary, "")[held.indices.to_numpy()]
+        self.hits += np.bincount(of, minlength=len(self.hits))
+        return self.flat[_ranges(self.start[of], self.size[of])], self.size[of]
+
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after the other; bounds of each text's ids, one more than there are texts). Null: empty."""
         texts = pc.fill_null(texts, "")

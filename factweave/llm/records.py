@@ -26,10 +26,13 @@ columns of any name besides the two are left alone; no rows give no files, and t
 
 from __future__ import annotations
 
+import json
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +95,27 @@ def unframe_all(raw: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]
         at = after
 
 
+#: What a character of a piece can be: its class by code point, UNSURE from the end of the table on.
+UNSURE, LETTER, NUMBER, OTHER, SPACE, LINE = range(6)
+CLASSES = np.array([{"L": LETTER, "N": NUMBER, "P": OTHER, "S": OTHER}.get(unicodedata.category(chr(k))[0], UNSURE) for k in range(0x250)] + [UNSURE], np.uint8)
+CLASSES[[32, 10, 39]] = SPACE, LINE, UNSURE  # an apostrophe may begin a contraction
+
+
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: The character that stands for each byte in byte-level vocabularies: itself if it is printable, else one from 256 on.
+AS_CHARACTERS = {b: 256 + n for n, b in enumerate(sorted(set(range(256)).difference(_SHOWN)))}
+
+
+def cut(points: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Whether a piece of the GPT-2 pattern begins at each character (a code point) of some parts, whose first ones are given.
+    They have no UNSURE one, a space at the start alone, and no two neighbouring white-space characters."""
+    kind = CLASSES[points]
+    begins = np.ones(len(kind), bool)
+    begins[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != SPACE)
+    begins[firsts] = True
+    return begins
+
+
 class Encoder:
     """The tokenizers library, called with add_special_tokens=False and otherwise as it is, so the strings of special tokens in
     a text become their ids; as_text=True takes them for ordinary text. Recurring parts are asked for once (see parts)."""
@@ -108,11 +132,50 @@ class Encoder:
         self.line = line[0] if len(line) == 1 else None
         added = tuple(t.content for t in self.lib.get_added_tokens_decoder().values())
         self.parts = Parts(self._learn, self.whole, self.kind, added)
+        #: pieces are asked of the library's model alone, where its pre-tokenizer is known to make the pieces of cut()
+        like = json.loads(self.lib.to_str())
+        before, model = like["pre_tokenizer"] or {}, like["model"]
+        plain = like["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
+        self.model = self.lib.model if plain and model["type"] == "BPE" and not model["dropout"] and like["truncation"] is like["padding"] is None else None
+        self.pieces = Parts(self._ask, self.whole, self.kind)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.kind)
 
     def _learn(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Most strings by way of their pieces, which recur more than they do; those with unsure characters whole."""
+        if self.model is None:
+            return self._learn_whole(strings)
+        size = np.fromiter(map(len, strings), np.int64, len(strings))
+        points = np.minimum(np.frombuffer("".join(strings).encode("utf-32-le"), "<u4"), len(CLASSES) - 1)
+        doubts = np.concatenate([[0], np.cumsum(CLASSES[points] == UNSURE)])
+        ends = np.cumsum(size)
+        sure = doubts[ends] == doubts[ends - size]
+        rest = np.flatnonzero(~sure)
+        some = [strings[k] for k in np.flatnonzero(sure).tolist()]
+        points, size = points[np.repeat(sure, size)], size[sure]
+        ends = np.cumsum(size)
+        begins = np.flatnonzero(cut(points, (ends - size)[size > 0]))
+        at = np.concatenate([[0], np.cumsum(1 + (points >= 0x80))])[np.append(begins, len(points))]
+        raw = pa.py_buffer("".join(some).encode())
+        pieces = pa.Array.from_buffers(pa.string(), len(begins), [None, pa.py_buffer(at.astype(np.int32)), raw])
+        ids, each = self.pieces.of(pieces)
+        until = np.concatenate([[0], np.cumsum(each)])[np.searchsorted(begins, np.concatenate([[0], ends]))]
+        starts, sizes = np.empty(len(strings), np.int64), np.empty(len(strings), np.int64)
+        starts[sure], sizes[sure] = until[:-1], np.diff(until)
+        if len(rest):
+            more, sizes[rest] = self._learn_whole([strings[k] for k in rest.tolist()])
+            starts[rest] = len(ids) + np.cumsum(sizes[rest]) - sizes[rest]
+            ids = np.concatenate([ids, more.astype(self.kind)])
+        return ids[_ranges(starts, sizes)], sizes
+
+    def _ask(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The model knows bytes as characters of its own; of the ASCII ones in pieces, only the space and the line feed differ."""
+        known = [x.replace(" ", "\u0120") if x.isascii() and x != "\n" else x.encode().decode("latin-1").translate(AS_CHARACTERS) for x in pieces]
+        ids = [[t.id for t in self.model.tokenize(x)] for x in known]
+        return np.fromiter(chain.from_iterable(ids), self.kind), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _learn_whole(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Strings after a space are joined by line feeds, up to 2,000 in a call: a line feed is a token by itself there."""
         starts, sizes = np.zeros(len(strings), np.int64), np.zeros(len(strings), np.int64)
         found, used = [np.zeros(0, self.kind)], 0

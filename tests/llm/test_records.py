@@ -110,3 +110,23 @@ def test_long_texts_and_hot_ids_fill_several_files(spark, lib, tmp_path):
     assert all(sum(x) - max(x) <= 4000 for x in size.values()) and max(map(max, size.values())) > 100_000 and len(size) > 15
     back = sorted(((-1 if r.doc_id is None else r.doc_id), r.ids) for r in R.read(spark, str(tmp_path / "r")).collect())
     assert back == sorted((-1 if i is None else i, lib(t)) for i, t in rows)
+
+
+def test_parts_are_asked_for_by_their_pieces(lib):
+    e = R.Encoder(PATH, 0)
+    texts = [f"{a}{b}\n{c}{d} {c}{b}" for a in ("Ab", "éß", "x9") for b in (",", "...", "²", "¿") for c in ("word", "Über", "12") for d in ("!", "7", "-Z")]
+    assert [x.tolist() for x in e.batch(pa.array(texts))] == [lib(t) for t in texts]
+    assert 0 < len(e.pieces.start) < 40 < len(e.parts.start)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZé 09²½,.'\n¿×ǅ\u00aa\u00a0\x85\t\x7fñß漢\u0345-_s$"), max_size=12), min_size=1, max_size=5))
+def test_pieces_are_those_of_the_library(lib, texts):
+    e = R.load(PATH, 0)
+    assert [x.tolist() for x in e.batch(pa.array(texts, pa.string()))] == [lib(t) for t in texts]
+
+
+def test_every_character_of_the_table_is_cut_as_the_library_cuts_it(lib):
+    e = R.Encoder(PATH, 0)
+    texts = [f"a{chr(k)}b 1{chr(k)}2 ,{chr(k)}; {chr(k)}" for k in range(0x260) if chr(k) != " "]
+    assert [x.tolist() for x in e.batch(pa.array(texts))] == [lib(t) for t in texts]
